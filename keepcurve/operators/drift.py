@@ -56,14 +56,14 @@ def psi_by_feature(long: DataFrame, n_bins: int = N_BINS, features: Sequence[str
     sides = long.groupBy("feature").agg(F.count_if(F.col("side") == "reference").alias("n_reference"),
                                         F.count_if(F.col("side") == "current").alias("n_current"))
     inb = counts.where(F.col("bin").isNotNull())
-    tot = inb.groupBy("feature").agg(F.sum("r").alias("R"), F.sum("c").alias("C"))
+    tot = inb.groupBy("feature").agg(F.sum("r").alias("r_total"), F.sum("c").alias("c_total"))
     # every bin 0..k-2 exists for the smoothing, even when empty on both sides
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.greatest(k - 2, F.lit(0)))).alias("bin"),
                         k.alias("n_edges"))
     full = (grid.join(inb, ["feature", "bin"], "left").join(tot, "feature", "left")
-                .fillna(0, subset=["r", "c", "R", "C"]))
-    rp = (F.col("r") + 1) / (F.col("R") + n_bins)
-    cp = (F.col("c") + 1) / (F.col("C") + n_bins)
+                .fillna(0, subset=["r", "c", "r_total", "c_total"]))
+    rp = (F.col("r") + 1) / (F.col("r_total") + n_bins)
+    cp = (F.col("c") + 1) / (F.col("c_total") + n_bins)
     psi = (full.groupBy("feature").agg(F.sum((cp - rp) * F.ln(cp / rp)).alias("_psi"),
                                        F.first("n_edges").alias("n_edges")))
     out = sides.join(psi, "feature", "left")

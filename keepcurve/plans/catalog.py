@@ -1,3 +1,3 @@
 """Import every catalog module so its queries register."""
 
-from keepcurve.plans import catalog_eval, catalog_features, catalog_survival  # noqa: F401
+from keepcurve.plans import catalog_eval, catalog_features, catalog_survival, catalog_uplift  # noqa: F401

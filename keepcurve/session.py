@@ -24,6 +24,7 @@ def local_session(app: str = "keepcurve", cores: int | str = "*", shuffle_partit
     """Local session for tests and the bench (UI off, AQE on)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
