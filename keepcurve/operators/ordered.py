@@ -123,6 +123,12 @@ def value_prefix(df: DataFrame, value_col: str, measures: Mapping[str, Column] |
     """
     measures = dict(measures or {})
     P = list(partition_cols)
+    from pyspark.sql import types as T
+
+    if isinstance(df.schema[value_col].dataType, (T.DoubleType, T.FloatType)):
+        # -0.0 and 0.0 are one value
+        df = df.withColumn(value_col, F.when(F.col(value_col) == 0, F.lit(0.0).cast(df.schema[value_col].dataType))
+                           .otherwise(F.col(value_col)))
     distinct = (df.where(F.col(value_col).isNotNull())
                   .groupBy(*P, value_col)
                   .agg(F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(m) for m, e in measures.items()]))

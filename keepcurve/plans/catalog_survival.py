@@ -274,3 +274,18 @@ def q_ltv_run_metrics(spark, sf_dir):
     v = (F.when(F.col("metric") == "high_value_at_risk_total_ltv", F.round("value", 2))
           .otherwise(F.round("value", 4)))
     return m.select("metric", v.alias("value"))
+
+
+@query("concordance_index", PH_SQL + """
+SELECT CAST(count(*) FILTER (WHERE a.theta > b.theta) AS BIGINT) AS concordant,
+       CAST(count(*) FILTER (WHERE a.theta = b.theta) AS BIGINT) AS tied,
+       CAST(count(*) AS BIGINT) AS comparable,
+       round((count(*) FILTER (WHERE a.theta > b.theta) + 0.5 * count(*) FILTER (WHERE a.theta = b.theta))
+             / count(*), 6) AS concordance_index
+FROM ph a JOIN ph b ON a.is_churn = 1 AND (b.tenure_days > a.tenure_days
+                                          OR (b.tenure_days = a.tenure_days AND b.is_churn = 0))""")
+def q_concordance_index(spark, sf_dir):
+    """K8: exact Harrell C of the partial hazard (oracle: brute-force pairs)."""
+    from keepcurve.operators.concordance import concordance_index
+
+    return concordance_index(demo_theta(spark, sf_dir), "tenure_days", "is_churn", "theta")
