@@ -1,3 +1,9 @@
 """Import every catalog module so its queries register."""
 
-from keepcurve.plans import catalog_eval, catalog_features, catalog_survival, catalog_uplift  # noqa: F401
+from keepcurve.plans import (  # noqa: F401
+    catalog_eval,
+    catalog_features,
+    catalog_models,
+    catalog_survival,
+    catalog_uplift,
+)
