@@ -23,7 +23,7 @@ def cutoff_lit(cutoff) -> Column:
 
 
 def parse_yyyymmdd(col: Column) -> Column:
-    return F.try_to_date(col.cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(col.cast("string"), "yyyyMMdd")
 
 
 def as_date(df: DataFrame, name: str) -> Column:

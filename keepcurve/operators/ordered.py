@@ -28,6 +28,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
+# A value is split by its tie-break only when it really is a heavy hitter
+# (more rows than one sort task should hold); smaller repeats are harmless.
+HOT_MIN_ROWS = 200_000
+
+
+def _order_key(df: DataFrame, name: str) -> Column:
+    """Order-preserving double for bucketing by ``name``.
+
+    Numbers cast directly.  Strings map to their first 6 UTF-8 bytes,
+    zero-padded (binary string order, exact in a double's 53 bits); rows
+    sharing that prefix share a sub-bucket and the in-bucket window orders
+    them by the full string.  Dates / timestamps go through epoch numbers.
+    """
+    from pyspark.sql import types as T
+
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, T.StringType):
+        hexed = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(hexed, 16, 10).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    return c.cast("double")
 
 
 def _edges(df: DataFrame, col: Column, n_buckets: int) -> list[float]:
@@ -68,6 +93,11 @@ def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
     # Hot values: occupy two or more quantile points => at least ~1/n_buckets of rows.
     vals, counts = np.unique(np.array(raw_edges), return_counts=True) if raw_edges else ([], [])
     hot = [float(v) for v, c in zip(vals, counts) if c >= 2] if tiebreak_col else []
+    if hot:
+        # confirm with exact counts (one small aggregate over the candidates)
+        big = (base.where(F.col("_k1").isin(hot)).groupBy("_k1").count()
+                   .where(F.col("count") >= HOT_MIN_ROWS).collect())
+        hot = sorted(float(r["_k1"]) for r in big)
     splits = set(raw_edges)
     for v in hot:
         splits.add(v)
@@ -78,8 +108,9 @@ def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
         all_splits = [-float("inf")] + sorted(splits) + [float("inf")]
         hot_ids = [float(all_splits.index(v)) for v in hot]
         hot_rows = base.where(F.col("_b1").isin(hot_ids))
-        sub = _edges(hot_rows, F.col(tiebreak_col).cast("double"), n_buckets)
-        base = _bucketize(base.withColumn("_k2", F.col(tiebreak_col).cast("double")), "_k2", "_b2s", sub)
+        tk = _order_key(base, tiebreak_col)
+        sub = _edges(hot_rows, tk, n_buckets)
+        base = _bucketize(base.withColumn("_k2", tk), "_k2", "_b2s", sub)
         base = base.withColumn("_b2", F.when(F.col("_b1").isin(hot_ids), F.col("_b2s")).otherwise(F.lit(0.0)))
         base = base.drop("_k2", "_b2s")
     else:
