@@ -31,6 +31,11 @@ DEFAULT_BUCKETS = 1024
 # A value is split by its tie-break only when it really is a heavy hitter
 # (more rows than one sort task should hold); smaller repeats are harmless.
 HOT_MIN_ROWS = 200_000
+# Inputs with at most this many rows (counted exactly, in the same job that
+# samples the bucket edges) take a plain window: at that size one sort task
+# per group is cheaper than the bucket bookkeeping.  Typical cases: tables
+# already collapsed to distinct whole-day durations or rounded scores.
+SMALL_ROWS = 100_000
 
 
 def _order_key(df: DataFrame, name: str) -> Column:
@@ -55,11 +60,12 @@ def _order_key(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def _edges(df: DataFrame, col: Column, n_buckets: int) -> list[float]:
+def _edges(df: DataFrame, col: Column, n_buckets: int, with_count: bool = False):
     qs = [i / n_buckets for i in range(1, n_buckets)]
     acc = max(10000, 8 * n_buckets)
-    row = df.select(F.percentile_approx(col, qs, acc).alias("e")).first()
-    return [] if row is None or row["e"] is None else [float(x) for x in row["e"]]
+    row = df.select(F.percentile_approx(col, qs, acc).alias("e"), F.count(F.lit(1)).alias("n")).first()
+    edges = [] if row is None or row["e"] is None else [float(x) for x in row["e"]]
+    return (edges, int(row["n"]) if row is not None else 0) if with_count else edges
 
 
 def _bucketize(df: DataFrame, in_col: str, out_col: str, edges: Sequence[float]) -> DataFrame:
@@ -89,7 +95,18 @@ def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
     for m, expr in measures.items():
         base = base.withColumn(f"_m_{m}", expr)
 
-    raw_edges = _edges(base, F.col("_k1"), n_buckets)
+    raw_edges, n_rows = _edges(base, F.col("_k1"), n_buckets, with_count=True)
+    order = ([F.col(value_col).desc() if descending else F.col(value_col).asc()]
+             + ([F.col(tiebreak_col).asc()] if tiebreak_col else []))
+    if n_rows <= SMALL_ROWS:
+        w = Window.partitionBy(*P).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        wt = Window.partitionBy(*P)
+        out = base.withColumn(rn_col, F.row_number().over(Window.partitionBy(*P).orderBy(*order)).cast("long"))
+        out = out.withColumn(n_col, F.count(F.lit(1)).over(wt))
+        for m in measures:
+            out = (out.withColumn(f"cum_{m}", F.sum(f"_m_{m}").over(w))
+                      .withColumn(f"tot_{m}", F.sum(f"_m_{m}").over(wt)))
+        return out.drop("_k1", *[f"_m_{m}" for m in measures])
     # Hot values: occupy two or more quantile points => at least ~1/n_buckets of rows.
     vals, counts = np.unique(np.array(raw_edges), return_counts=True) if raw_edges else ([], [])
     hot = [float(v) for v, c in zip(vals, counts) if c >= 2] if tiebreak_col else []
@@ -131,8 +148,6 @@ def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
         bt = F.broadcast(bt)  # at most n_buckets * (1 + hot * n_buckets) rows
     joined = base.join(bt, [*P, "_b1", "_b2"])
     # Order inside a bucket by the original value (exact for 64-bit keys).
-    order = ([F.col(value_col).desc() if descending else F.col(value_col).asc()]
-             + ([F.col(tiebreak_col).asc()] if tiebreak_col else []))
     wl = Window.partitionBy(*P, "_b1", "_b2").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.withColumn(rn_col, (F.col("_off_n") + F.count(F.lit(1)).over(wl)).cast("long"))
     for c in mcols:

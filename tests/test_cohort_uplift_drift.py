@@ -20,7 +20,7 @@ def _labels(spark):
     return spark.createDataFrame(rows, "key long, label int")
 
 
-def test_stratified_sample_exact_counts_and_seeded(spark):
+def test_stratified_sample_exact_counts_and_seeded(spark, prefix_path):
     df = _labels(spark)
     s = co.stratified_sample(df, "key", "label", 0.25, seed=42)
     got = {r["label"]: r["count"] for r in s.groupBy("label").count().collect()}
@@ -52,7 +52,7 @@ def _experiment(seed=0, n=400):
                          "score": np.round(rng.random(n), 2)})
 
 
-def test_qini_curve_and_coefficient(spark):
+def test_qini_curve_and_coefficient(spark, prefix_path):
     pdf = _experiment()
     df = spark.createDataFrame(pdf)
     curve = up.qini_curve(df, "score", "key").toPandas().sort_values("rn")

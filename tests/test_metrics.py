@@ -34,7 +34,7 @@ def _ap(y, s):
     return ap
 
 
-def test_ranking_metrics(spark):
+def test_ranking_metrics(spark, prefix_path):
     pdf = _scored()
     df = spark.createDataFrame(pdf)
     y, s = pdf["label"].to_numpy(), pdf["score"].to_numpy()
@@ -69,7 +69,7 @@ def test_one_class_auc_is_null(spark):
     assert me.roc_auc(df).first()["roc_auc"] is None
 
 
-def test_calibration_curve_quantile_bins(spark):
+def test_calibration_curve_quantile_bins(spark, prefix_path):
     pdf = _scored(2)
     df = spark.createDataFrame(pdf)
     got = me.calibration_curve(df).toPandas().sort_values("bin")

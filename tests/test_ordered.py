@@ -21,7 +21,7 @@ def _frame(seed, n=600):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("tie", ["key", "skey"])
-def test_row_prefix_matches_sorted_cumsum(spark, monkeypatch, descending, tie):
+def test_row_prefix_matches_sorted_cumsum(spark, prefix_path, monkeypatch, descending, tie):
     monkeypatch.setattr(ordered, "HOT_MIN_ROWS", 50)  # the 200-row tie block is split by the tie-break
     pdf = _frame(1)
     pdf["skey"] = [f"u{k * 7919 % 1000:03d}|p{k % 2}" for k in pdf["key"]]  # string tie-break
@@ -38,7 +38,7 @@ def test_row_prefix_matches_sorted_cumsum(spark, monkeypatch, descending, tie):
         assert np.allclose(got["tot_m"], exp["m"].sum())
 
 
-def test_value_prefix_collapses_ties(spark):
+def test_value_prefix_collapses_ties(spark, prefix_path):
     pdf = _frame(2)
     out = value_prefix(spark.createDataFrame(pdf), "v", {"m": F.col("m")}, n_buckets=8).toPandas()
     exp = pdf.groupby("v").agg(n=("m", "size"), m=("m", "sum")).sort_index()
@@ -49,7 +49,7 @@ def test_value_prefix_collapses_ties(spark):
     assert np.allclose(got["m_before"], exp["m_before"])
 
 
-def test_average_ranks_match_pandas(spark):
+def test_average_ranks_match_pandas(spark, prefix_path):
     pdf = _frame(3)
     pdf.loc[5, "v"] = np.nan
     df = spark.createDataFrame(pdf).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
@@ -61,7 +61,7 @@ def test_average_ranks_match_pandas(spark):
     assert np.allclose(got["pct"].to_numpy()[mask], pdf["v"].rank(method="average", pct=True).to_numpy()[mask])
 
 
-def test_exact_quantiles_linear(spark):
+def test_exact_quantiles_linear(spark, prefix_path):
     pdf = _frame(4)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     got = exact_quantiles(spark.createDataFrame(pdf), "v", probs, ["g"], n_buckets=8).toPandas()

@@ -21,7 +21,7 @@ def _fixture(seed=0, n=300):
                          "s": rng.integers(0, 2, n), "risk": np.round(rng.normal(size=n), 1)})
 
 
-def test_kaplan_meier_and_median(spark):
+def test_kaplan_meier_and_median(spark, prefix_path):
     pdf = _fixture()
     km = sv.kaplan_meier(spark.createDataFrame(pdf), "t", "e", ["s"]).toPandas()
     for s, part in pdf.groupby("s"):
@@ -41,7 +41,7 @@ def test_kaplan_meier_and_median(spark):
         assert med == (int(below["t"].iloc[0]) if len(below) else None)
 
 
-def test_breslow_baseline(spark):
+def test_breslow_baseline(spark, prefix_path):
     pdf = _fixture(1)
     pdf["theta"] = np.exp(0.3 * pdf["x1"])
     got = sv.breslow_baseline(spark.createDataFrame(pdf), "t", "e", "theta").toPandas().sort_values("t")
@@ -67,7 +67,7 @@ def _brute_cindex(t, e, r):
 
 
 @pytest.mark.parametrize("bins", [1, 4])
-def test_concordance_exact(spark, bins):
+def test_concordance_exact(spark, prefix_path, bins):
     pdf = _fixture(2, n=250)
     got = concordance_index(spark.createDataFrame(pdf), "t", "e", "risk", n_bins=bins).first()
     conc, tie, comp = _brute_cindex(pdf["t"].to_numpy(), pdf["e"].to_numpy(), pdf["risk"].to_numpy())
@@ -75,7 +75,7 @@ def test_concordance_exact(spark, bins):
     assert got["concordance_index"] == pytest.approx((conc + 0.5 * tie) / comp)
 
 
-def test_spearman(spark):
+def test_spearman(spark, prefix_path):
     pdf = _fixture(3)
     got = sv.spearman(spark.createDataFrame(pdf), "risk", "t").first()["spearman"]
     assert got == pytest.approx(pdf["risk"].rank().corr(pdf["t"].rank()))
