@@ -4,6 +4,7 @@ from keepcurve.plans import (  # noqa: F401
     catalog_eval,
     catalog_features,
     catalog_models,
+    catalog_sinks,
     catalog_survival,
     catalog_uplift,
 )
