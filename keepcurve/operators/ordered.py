@@ -69,7 +69,8 @@ def _edges(df: DataFrame, col: Column, n_buckets: int, with_count: bool = False)
 
 
 def _bucketize(df: DataFrame, in_col: str, out_col: str, edges: Sequence[float]) -> DataFrame:
-    splits = [-float("inf")] + sorted(set(edges)) + [float("inf")]
+    # infinite values fall in the open end buckets; they are never edges
+    splits = [-float("inf")] + sorted(set(e for e in edges if np.isfinite(e))) + [float("inf")]
     if len(splits) < 3:
         return df.withColumn(out_col, F.lit(0.0))
     return Bucketizer(splits=splits, inputCol=in_col, outputCol=out_col, handleInvalid="keep").transform(df)
@@ -109,13 +110,13 @@ def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
         return out.drop("_k1", *[f"_m_{m}" for m in measures])
     # Hot values: occupy two or more quantile points => at least ~1/n_buckets of rows.
     vals, counts = np.unique(np.array(raw_edges), return_counts=True) if raw_edges else ([], [])
-    hot = [float(v) for v, c in zip(vals, counts) if c >= 2] if tiebreak_col else []
+    hot = [float(v) for v, c in zip(vals, counts) if c >= 2 and np.isfinite(v)] if tiebreak_col else []
     if hot:
         # confirm with exact counts (one small aggregate over the candidates)
         big = (base.where(F.col("_k1").isin(hot)).groupBy("_k1").count()
                    .where(F.col("count") >= HOT_MIN_ROWS).collect())
         hot = sorted(float(r["_k1"]) for r in big)
-    splits = set(raw_edges)
+    splits = set(e for e in raw_edges if np.isfinite(e))
     for v in hot:
         splits.add(v)
         splits.add(float(np.nextafter(v, np.inf)))

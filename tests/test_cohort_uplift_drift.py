@@ -143,3 +143,14 @@ def test_select_champion_first_wins_ties(spark):
     m = spark.createDataFrame([("a", 0, "pr_auc", 0.4), ("b", 1, "pr_auc", 0.5), ("c", 2, "pr_auc", 0.5)],
                               "model string, ord int, metric string, value double")
     assert pm.select_champion(m).first()["model"] == "b"
+
+
+def test_remaining_life_distributed_path_matches(spark, prefix_path):
+    base = pd.DataFrame({"t": [1, 5, 10, 20], "baseline_survival": [0.99, 0.9, 0.7, 1e-12]})
+    rows = pd.DataFrame({"tenure_days": [0, 3, 25, 10, 5], "partial_hazard": [1.0, 0.5, 2.0, 1.3, 0.8]})
+    exp = lt.remaining_life_numpy(rows["tenure_days"].to_numpy(float), rows["partial_hazard"].to_numpy(float),
+                                  base["t"].to_numpy(float), base["baseline_survival"].to_numpy())
+    got = lt.expected_remaining_life_distributed(spark.createDataFrame(rows), spark.createDataFrame(base))
+    got = got.toPandas().sort_values(["tenure_days", "partial_hazard"])
+    order = rows.assign(e=exp).sort_values(["tenure_days", "partial_hazard"])
+    assert np.allclose(got["expected_remaining_days"], order["e"], rtol=1e-9, atol=1e-9)
