@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 
 
 def cutoff_lit(cutoff) -> Column:
-    """A ``DATE`` literal for a cutoff given as ``date`` or ISO string."""
+    """A ``DATE`` literal for a cutoff given as ``date`` or ISO string (a
+    Column, e.g. a per-row cutoff, is returned as it is)."""
+    if isinstance(cutoff, Column):
+        return cutoff
     if isinstance(cutoff, (_dt.date, _dt.datetime)):
         cutoff = cutoff.isoformat()[:10]
     return F.lit(str(cutoff)).cast("date")

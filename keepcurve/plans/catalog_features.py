@@ -60,8 +60,18 @@ def snapshot(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both periods pooled (U3): the input of survival, LTV and drift."""
-    return snapshot(spark, sf_dir, "period1").unionByName(snapshot(spark, sf_dir, "period2"))
+    """Both periods pooled (U3): the input of survival, LTV and drift.
+
+    Built in one pass per source (``feature_snapshots``): the period2
+    deliveries hold every row the period1 snapshot reads (the v2 deliveries
+    start after the period1 cutoff, and orders carry a unique id, so the
+    dedup of v1 + v2 changes nothing for period1)."""
+    lab = None
+    for p in td.CUTOFFS:
+        part = td.labels(spark, sf_dir, p).withColumn("period", F.lit(p))
+        lab = part if lab is None else lab.unionByName(part)
+    return fe.feature_snapshots(lab, td.members(spark, sf_dir), transactions(spark, sf_dir, "period2"),
+                                user_logs(spark, sf_dir, "period2"), td.CUTOFFS)
 
 
 # ------------------------------------------------------------------ queries

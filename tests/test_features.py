@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from keepcurve.operators import features as fe
 
@@ -99,3 +100,28 @@ def test_post_cutoff_rows_change_nothing(spark):
     f1 = fe.transaction_features(spark.createDataFrame(base, TX), CUTOFF).first().asDict()
     f2 = fe.transaction_features(spark.createDataFrame(late, TX), CUTOFF).first().asDict()
     assert f1 == f2
+
+
+def test_multi_cutoff_snapshot_equals_per_period(spark):
+    members = spark.createDataFrame([("a", 1, 30, "male", 7, 20150101), ("b", 2, 40, "female", 3, 20160601)],
+                                    MEMBERS)
+    tx = spark.createDataFrame([("a", 30, 30, 100, 90, 0, 20161201, 20170101, 0, 1),
+                                ("a", 31, 30, 150, 140, 1, 20170120, 20170220, 1, 2),
+                                ("b", 32, 90, 150, 140, 1, 20170215, 20170515, 0, 3),
+                                ("b", 33, 30, 120, 100, 0, 20161115, 20161215, 0, 4)], TX)
+    logs = spark.createDataFrame([("a", ymd(3), 1, 2, 3, 4, 5, 6, 70.0), ("a", ymd(40), 1, 0, 0, 0, 9, 2, 30.0),
+                                  ("b", ymd(-20), 2, 2, 2, 2, 2, 2, 10.0), ("b", ymd(100), 0, 0, 0, 0, 1, 1, 5.0)],
+                                 LOGS)
+    cutoffs = {"p1": "2017-01-31", "p2": "2017-02-28"}
+    labels = {"p1": spark.createDataFrame([("a", 0), ("b", 1)], "msno string, is_churn int"),
+              "p2": spark.createDataFrame([("b", 0)], "msno string, is_churn int")}
+    per = None
+    for p, c in cutoffs.items():
+        one = fe.feature_snapshot(labels[p], members, tx, logs, c, p)
+        per = one if per is None else per.unionByName(one)
+    lab = labels["p1"].withColumn("period", F.lit("p1")).unionByName(labels["p2"].withColumn("period", F.lit("p2")))
+    multi = fe.feature_snapshots(lab, members, tx, logs, cutoffs)
+    assert sorted(multi.columns) == sorted(per.columns)
+    cols = sorted(per.columns)
+    key = lambda r: (r["period"], r["msno"])
+    assert sorted(multi.select(cols).collect(), key=key) == sorted(per.select(cols).collect(), key=key)
