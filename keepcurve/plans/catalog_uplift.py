@@ -19,7 +19,7 @@ from keepcurve.operators import prep as pr
 from keepcurve.operators import promotion as pm
 from keepcurve.operators import uplift as up
 from keepcurve.plans.catalog_eval import H
-from keepcurve.plans.catalog_features import snapshot, with_both
+from keepcurve.plans.catalog_features import snapshot, snapshots, with_both
 from keepcurve.plans.catalog_survival import LIFE_SQL, RECENCY_HALF_LIFE, churn_score, ltv_table
 from keepcurve.plans.registry import query
 from keepcurve.session import cut_lineage
@@ -188,7 +188,11 @@ rs AS (SELECT feature, psi, CASE WHEN psi IS NULL THEN 'no data' WHEN psi > {dr.
 
 
 def _drift(spark, sf_dir, features):
-    return dr.drift_report(snapshot(spark, sf_dir, "period1"), snapshot(spark, sf_dir, "period2"), features)
+    """Both sides from one pass (pooled snapshot pruned to the features,
+    materialised once), split by period."""
+    pooled = cut_lineage(snapshots(spark, sf_dir).select("period", *features))
+    return dr.drift_report(pooled.where(F.col("period") == "period1"), pooled.where(F.col("period") == "period2"),
+                           features)
 
 
 @query("psi", _drift_sql(["days_since_last_transaction"]) + "\nSELECT feature, round(psi, 6) AS psi FROM rs")
