@@ -18,6 +18,7 @@ from keepcurve.operators import promotion as pm
 from keepcurve.operators import survival as sv
 from keepcurve.operators import uplift as up
 from keepcurve.operators.concordance import concordance_index
+from keepcurve.operators.ordered import row_prefix
 from keepcurve.plans.catalog_features import snapshot
 from keepcurve.plans.catalog_survival import churn_score, surv
 from keepcurve.plans.catalog_uplift import CATEGORICAL_FEATURES, HOLDOUT, NUMERIC_FEATURES, SEED
@@ -74,7 +75,10 @@ def q_oot_vs_naive_split(spark, sf_dir):
     pooled = co.stratified_split(pooled.withColumn("_rk", F.concat_ws("|", F.col("msno").cast("string"), "period")),
                                  "_rk", "label", 0.2, SEED, names=("train", "test"))
     k = p1.where(F.col("split") == "train").count()
-    tr = pooled.where(F.col("split") == "train").orderBy(F.xxhash64("_rk", F.lit(SEED))).limit(k)
+    # first k train rows in a second seeded hash order (distributed prefix, not a k-row limit in one task)
+    tr = pooled.where(F.col("split") == "train").withColumn("_h2", F.xxhash64("_rk", F.lit(SEED)))
+    tr = (row_prefix(tr, "_h2", "_rk", None, (), rn_col="_trn", n_col="_tn")
+          .where(F.col("_trn") <= F.lit(int(k))).drop("_h2", "_trn", "_tn"))
     tr = mo.scale_pos_weight_col(tr, "label", "w")
     g = mo.fit_gbt(tr, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label", weight_col="w")
     naive = g.score(pooled.where(F.col("split") == "test"), KEEP)
