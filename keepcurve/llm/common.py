@@ -32,6 +32,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remainder(n: int, id_col: str = "doc_id") -> F.Column:
+    """crc32 of the id as text, modulo ``n``: the folds of the contracts."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
+
+
 def word_count(text) -> F.Column:
     """Number of words of a text column; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")

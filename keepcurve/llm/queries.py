@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import table
+from keepcurve.llm.brown_lm import score_texts
+from keepcurve.llm.common import remainder, table
 from keepcurve.llm.embedding_dedup import near_duplicate_vectors
+from keepcurve.llm.language_id import fit_languages, identify
+from keepcurve.llm.line_dedup import CONTEXT_SHARE, MIN_SITES, MIN_WORDS, remove_boilerplate
 from keepcurve.llm.mixing import mix_sources
 from keepcurve.llm.packing import pack_documents
 from keepcurve.llm.sharding import shard_documents
 from keepcurve.llm.simhash import near_duplicates
 from keepcurve.llm.topk import top_k
+from keepcurve.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,6 +90,14 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(v, v.where("vec_id % 50 = 0"))
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(remainder(5) != 0))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op6_sharding", f"""
 WITH r AS (
   SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
@@ -127,3 +139,41 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix_sources(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, fit_languages(docs.where(remainder(5) != 0)))
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op9_line_dedup", rf"""
+WITH t AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
+x AS (SELECT doc_id, source, a, unnest(range(1, len(a) + 1)) AS k FROM t),
+l AS (
+  SELECT doc_id, source, k, trim(a[k], ' ') AS line, row(k > 1, trim(a[k - 1], ' '), k < len(a), trim(a[k + 1], ' ')) AS context
+  FROM x WHERE len(regexp_extract_all(a[k], '[^ 	-
+]+')) >= {MIN_WORDS}),
+b AS (
+  SELECT line, min(row(doc_id, k)) AS first FROM l GROUP BY line
+  HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {MIN_SITES}
+     AND count(DISTINCT context) >= greatest({MIN_SITES}, {CONTEXT_SHARE} * count(DISTINCT doc_id))),
+cut AS (SELECT l.doc_id, l.k FROM l JOIN b USING (line) WHERE row(l.doc_id, l.k) <> b.first),
+kept AS (
+  SELECT x.doc_id, string_agg(x.a[x.k], chr(10) ORDER BY x.k) AS text FROM x
+  WHERE NOT EXISTS (SELECT 1 FROM cut WHERE cut.doc_id = x.doc_id AND cut.k = x.k) GROUP BY x.doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM cut GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INTEGER) AS n_lines, CAST(coalesce(n.n_removed, 0) AS INTEGER) AS n_removed
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+""")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op10_class_lm")
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_texts(docs, remainder(7) != 2)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
