@@ -17,7 +17,8 @@ CLUSTERED = 8192
 ENDING_UNITS = 4096
 ENDING_BYTES = 4
 CLASSES = 64
-ROUNDS = 10
+ROUNDS = 12
+EXCHANGE_STEPS = 256
 DISCOUNT = 0.75
 TRANSITION_PRIOR = 200.0
 PARTIAL_WORDS = 400_000
@@ -195,14 +196,19 @@ def likelihood(n) -> float:
 
 
 def exchange(before, after, classes, n, movable):
-    """One exchange step: each movable unit goes to the class that raises the
-    likelihood most, the others held where they are."""
-    new, rows, cols = classes.copy(), n.sum(1), n.sum(0)
-    g, g_rows, g_cols = _xlogx(n), _xlogx(rows), _xlogx(cols)
-    units = np.flatnonzero(movable & (before.sum(1) + after.sum(1) > 0))
-    for lo in range(0, len(units), 256):
-        u = units[lo:lo + 256]
-        l, r, a = before[u], after[u], classes[u]
+    """One exchange round: each movable unit, the most frequent first, goes to
+    the class that raises the likelihood most.  The class bigram counts follow
+    every few moves; the units' own contexts are those counted at the start."""
+    new, n = classes.copy(), n.copy()
+    size = before.sum(1) + after.sum(1)
+    units = np.flatnonzero(movable & (size > 0))
+    units = units[np.argsort(-size[units], kind="stable")]
+    at_once = max(1, len(units) // EXCHANGE_STEPS)
+    for lo in range(0, len(units), at_once):
+        rows, cols = n.sum(1), n.sum(0)
+        g, g_rows, g_cols = _xlogx(n), _xlogx(rows), _xlogx(cols)
+        u = units[lo:lo + at_once]
+        l, r, a = before[u], after[u], new[u]
         lm, rm = l.sum(1), r.sum(1)
         leave = ((_xlogx(np.maximum(n[a] - r, 0)) - g[a]).sum(1) + (_xlogx(np.maximum(n[:, a].T - l, 0)) - g[:, a].T).sum(1)
                  - (_xlogx(np.maximum(rows[a] - rm, 0)) - g_rows[a]) - (_xlogx(np.maximum(cols[a] - lm, 0)) - g_cols[a]))
@@ -212,7 +218,14 @@ def exchange(before, after, classes, n, movable):
         gain[np.arange(len(u)), a] = 0
         gain[:, 0] = -np.inf  # class 0 is the end's alone
         best = gain.argmax(1)
-        new[u] = np.where(gain[np.arange(len(u)), best] > 0, best, a)
+        moves = np.flatnonzero((gain[np.arange(len(u)), best] > 0) & (best != a))
+        for k in moves:
+            n[a[k]] -= r[k]
+            n[best[k]] += r[k]
+            n[:, a[k]] -= l[k]
+            n[:, best[k]] += l[k]
+        np.maximum(n, 0, out=n)
+        new[u[moves]] = best[moves]
     return new
 
 
@@ -220,10 +233,12 @@ def cluster(encoded: DataFrame, end_unit: int, rounds: int = ROUNDS):
     """Classes of the units by exchange clustering; returns (classes, class
     bigram counts) of the best round by likelihood.
 
-    Each round counts every unit's contexts over all texts, then moves one
-    half of the units (taking turns) to their best classes.  The end keeps
+    Each round counts every unit's contexts over all texts, then exchanges a
+    random part of the units, at first a half, starting from the best classes
+    so far; the part is halved after a round that did not help.  The end keeps
     class 0 for itself."""
     n_units = CLUSTERED + ENDING_UNITS
+    rng, part = np.random.default_rng(0), 0.5
     classes = (1 + np.arange(n_units) % (CLASSES - 1)).astype(np.int32)
     best = None
     for k in range(rounds + 1):
@@ -232,10 +247,14 @@ def cluster(encoded: DataFrame, end_unit: int, rounds: int = ROUNDS):
         n = transitions(before, classes)
         value = likelihood(n)
         if best is None or value > best[0]:
-            best = (value, classes.copy(), n)
-        movable = np.arange(n_units) % 2 == k % 2
+            best = (value, classes, n, before, after)
+        else:
+            part /= 2
+        movable = rng.random(n_units) < part
         movable[end_unit] = False
-        classes = exchange(before, after, classes, n, movable)
+        _, classes, n, before, after = best
+        if k < rounds:
+            classes = exchange(before, after, classes, n, movable)
     return best[1], best[2]
 
 
@@ -256,6 +275,19 @@ def types_per_class(counts: DataFrame, units: dict[bytes, int], classes):
     return out
 
 
+def class_model(n, types):
+    """From class bigram counts and distinct words per class: log10 of
+    P(class | previous) / class count, and of a class's mass of unseen words
+    times its count.  With log10(count - discount) for a known word the sum is
+    the word's log10 probability."""
+    in_class = n.sum(0)
+    share = (in_class + 1) / (in_class.sum() + CLASSES)
+    step = np.log10((n + TRANSITION_PRIOR * share[None, :]) / (n.sum(1, keepdims=True) + TRANSITION_PRIOR))
+    unseen = np.log10(np.maximum(DISCOUNT * types, 1e-12))
+    unseen[types == 0] = 0.0  # nothing known in the class: all of it is unseen words
+    return step - np.log10(np.maximum(in_class, 1))[None, :], unseen
+
+
 def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Train on the rows of ``docs`` where the boolean column ``learn`` holds
     and score all of them.
@@ -289,12 +321,7 @@ def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str =
     classes, n = cluster(encoded.where("learned"), end_unit, rounds)
     types = types_per_class(counts, units, classes)
 
-    in_class = n.sum(0)
-    share = (in_class + 1) / (in_class.sum() + CLASSES)
-    step = np.log10((n + TRANSITION_PRIOR * share[None, :]) / (n.sum(1, keepdims=True) + TRANSITION_PRIOR))
-    step = step - np.log10(np.maximum(in_class, 1))[None, :]  # with the denominator of P(word | class)
-    unseen = np.log10(np.maximum(DISCOUNT * types, 1e-12))
-    unseen[types == 0] = 0.0  # nothing known in the class: all of it is unseen words
+    step, unseen = class_model(n, types)
 
     def walk(stream):
         import pyarrow as pa
