@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,63 +13,77 @@ from keepcurve.llm.common import materialise
 MAX_TOKENS = 2048
 OPEN_WINDOWS = 16
 MERGED_PARTITIONS = 64
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 ROWS_PER_BATCH = 2048
 TOKEN_BYTES = 4
 
 
+class Recent(dict):
+    """Results of ``compute`` by word, in two generations: ``turn`` makes the
+    entries the older generation once there are ``most / 2`` and drops the
+    one before, so that what was looked up lately stays."""
+
+    def __init__(self, compute, most: int):
+        super().__init__()
+        self.compute, self.most, self.old = compute, most // 2, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.compute(word)
+        self[word] = ids
+        return ids
+
+    def turn(self) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
     The vocabulary's pre-tokeniser drops white space and no token spans it,
-    so a text's ids are those of its words one after the other; each distinct
-    word goes through the tokenizer once.  A word of Latin-1 letters with
-    ASCII punctuation after it is looked up as these two parts, which the
-    pre-tokeniser separates as well (apostrophes excepted, hence left out).
-    Texts are split only at space, tab and line ends; any other white space
-    stays for the tokenizer.  The caches are cleared when they reach
-    ``CACHED_WORDS`` entries, which bounds their memory."""
+    so a text's ids are those of its words one after the other, and words seen
+    lately need no second look.  A word of Latin-1 letters, perhaps with ASCII
+    punctuation after it, is one or two pre-tokens (apostrophes start others
+    and are left out): such parts are lowered and go to the vocabulary's model
+    at once, as all its normalisers and splits would do.  Any other word takes
+    the whole tokenizer.  Texts are split only at space, tab and line ends;
+    other white space stays for the tokenizer.  The caches are bounded, but
+    for the words of the text at hand."""
 
     def __init__(self, path: str):
         import re
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.two_parts = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
-        self.letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-        self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        self.words, self.parts = Recent(self._word, CACHED_WORDS), Recent(self._part, CACHED_WORDS)
 
     def _part(self, part: str) -> bytes:
-        import numpy as np
-
-        got = self.parts.get(part)
-        if got is None:
-            if len(self.parts) >= CACHED_WORDS:
-                self.parts.clear()
-            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-            got = self.parts[part] = np.array(ids, dtype="<u4").tobytes()
-        return got
+        mapped = part if part.isascii() else self.to_bytes(part)[0][0]
+        return _pack([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, word: str) -> bytes:
-        if (two := self.two_parts(word)) is not None:
-            return self._part(two[1].lower()) + self._part(two[2])
-        return self._part(word.lower() if self.letters(word) else word)
+        two = self.simple(word)
+        if two is None:
+            return _pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        letters, marks = two.groups()
+        return self.parts[letters.lower()] + self.parts[marks] if marks else self.parts[letters.lower()]
 
     def encode(self, text: str) -> bytes:
+        self.words.turn()
+        self.parts.turn()
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.words
-        if len(known) >= CACHED_WORDS:
-            known.clear()
-            known[""] = b""
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self._word(w)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, words))
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _encoder(path: str) -> WordEncoder:
