@@ -1,36 +1,43 @@
 """As-of feature snapshots.
 
-Everything is computed as of a cutoff date: rows dated after the cutoff are
-filtered before any aggregate (leakage guard, inclusive ``<=``).  Windows
-``<= d`` keep days 0..d, i.e. d + 1 calendar days, as in the original.
+A feature is a row of a table: a name, what it measures, the ages (days
+before the cutoff) it covers and how it is aggregated.  ``aggregates`` turns
+such rows into columns of one grouped aggregate, so adding a window or a
+measure is adding a row.  Rows dated after the cutoff are dropped before any
+aggregate (leakage guard, inclusive ``<=``); a window of d days covers ages
+0 to d.
 
 Plan shape (per source table):
-  * transactions: one hash aggregate keyed by member, with partial
-    aggregation on the map side; the latest row comes from ``max_by`` over a
-    (date, tie-break) struct inside the same aggregate, so there is no
-    row_number window (which would sort a hot member's rows in one task) and
-    no self-join of "latest" with "windows".
-  * logs: a day-level aggregate keyed by (member, day) first, then one
-    member-level aggregate.  Active-day counts become ``count_if`` over day
-    rows, which avoids the Expand that several ``countDistinct`` produce,
-    and the prior-30-day momentum sum folds into the same aggregate instead
-    of a second scan + join.
-  * cohort filter: a left-semi join placed after the map-side aggregation.
-    No broadcast hint: the planner/AQE broadcasts the cohort only when its
-    measured size is under the broadcast threshold, and otherwise the semi
-    join reuses the member hash partitioning of the aggregate.
+  * transactions: an aggregate per (member, list price) and one per member
+    above it.  Counts and sums add up, the number of price groups seen in the
+    window is the number of distinct plans, and the latest row's fields come
+    from ``max_by`` with a decimal order key (date, then id).  All buffers are
+    fixed-width, so both are hash aggregates with a map-side partial; no
+    Expand, no window that sorts a hot member's rows in one task.
+  * logs: one member aggregate over the raw rows.  Days with activity are bits
+    of a few longs (``bit_or``), counted per window with a mask, so days are
+    distinct without a shuffle by day.
+  * cohort filter: a left-semi join on the member key after the aggregate.
+    No broadcast hint: AQE broadcasts the cohort only when it is measured
+    small.
+  * several cutoffs: rows are tagged with each period they precede after one
+    scan, and the aggregates are keyed by (period, member).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keepcurve.functions.dates import as_date, cutoff_lit
 from keepcurve.functions.exprs import guarded_ratio, range_guard, recode, valid_flag
 
+# Windows, ranges, codes and source columns of the feature set.
 LOOKBACK_WINDOWS_DAYS = (7, 30, 90, 180)
 AGE_RANGE = (10, 90)
 GENDER_CODES = {"male": 1, "female": 0}
@@ -38,6 +45,7 @@ DISTINCT_PLAN_WINDOW_DAYS = 180
 MOMENTUM_RECENT_DAYS = 30
 MOMENTUM_PRIOR_END_DAYS = 60
 PLAY_COLUMNS = ("num_25", "num_50", "num_75", "num_985", "num_100")
+WINDOWED_LOG_MEASURES = ("total_secs", "num_100", "num_unq")
 LATEST_TX_FIELDS = {
     "payment_method_id": "last_payment_method_id",
     "payment_plan_days": "last_payment_plan_days",
@@ -46,11 +54,38 @@ LATEST_TX_FIELDS = {
     "is_auto_renew": "is_auto_renew",
 }
 
+AGE = "days_before_cutoff"
+BITS = 64
 
-def _semi(df: DataFrame, cohort: DataFrame | None, key: str) -> DataFrame:
-    if cohort is None:
-        return df
-    return df.join(cohort.select(key), on=key, how="left_semi")
+
+@dataclass(frozen=True)
+class Feature:
+    """``name`` = ``how`` (sum, count, min, max) of ``measure`` (a column name;
+    none for rows) over ages from ``ages[0]`` to ``ages[1]`` (none: all)."""
+
+    name: str
+    how: str
+    measure: str | None = None
+    ages: tuple[int, int] | None = None
+
+    def column(self) -> Column:
+        inside = F.lit(True) if self.ages is None else F.col(AGE).between(*self.ages)
+        if self.how == "count":
+            out = F.count_if(inside) if self.measure is None else F.count(F.when(inside, F.col(self.measure)))
+        elif self.ages is None:
+            out = getattr(F, self.how)(self.measure)
+        else:
+            empty = F.lit(0) if self.how == "sum" else F.lit(None)
+            out = getattr(F, self.how)(F.when(inside, F.col(self.measure)).otherwise(empty))
+        return out.alias(self.name)
+
+
+def aggregates(features: Sequence[Feature]) -> list[Column]:
+    return [f.column() for f in features]
+
+
+def _semi(df: DataFrame, cohort: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    return df if cohort is None else df.join(cohort.select(*keys), list(keys), "left_semi")
 
 
 # ------------------------------------------------------------------ members
@@ -61,18 +96,16 @@ def member_features(members: DataFrame, cutoff, key: str = "msno",
     if registration_col is None:
         registration_col = ("registration_date" if "registration_date" in members.columns
                             else "registration_init_time")
-    reg = as_date(members, registration_col)
-    bd = F.col("bd")
-    return members.select(
-        *keep,
-        key,
-        F.col("city").cast("int").alias("city"),
-        range_guard(bd, *AGE_RANGE).cast("int").alias("age"),
-        valid_flag(bd, *AGE_RANGE).alias("age_is_valid"),
-        recode(F.col("gender"), GENDER_CODES).cast("int").alias("gender_male"),
-        F.col("registered_via").cast("int").alias("registered_via"),
-        F.datediff(cutoff_lit(cutoff), reg).alias("tenure_days"),
-    )
+    age = F.col("bd")
+    columns: Mapping[str, Column] = {
+        "city": F.col("city").cast("int"),
+        "age": range_guard(age, *AGE_RANGE).cast("int"),
+        "age_is_valid": valid_flag(age, *AGE_RANGE),
+        "gender_male": recode(F.col("gender"), GENDER_CODES).cast("int"),
+        "registered_via": F.col("registered_via").cast("int"),
+        "tenure_days": F.datediff(cutoff_lit(cutoff), as_date(members, registration_col)),
+    }
+    return members.select(*keep, key, *[c.alias(n) for n, c in columns.items()])
 
 
 # ------------------------------------------------------------- transactions
@@ -87,140 +120,173 @@ def asof_filter(df: DataFrame, date_col: str, cutoff, out_date: str | None = Non
     out_date = out_date or date_col
     return (df.where(d <= cutoff_lit(cutoff))
               .withColumn(out_date, d)
-              .withColumn("days_before_cutoff", F.datediff(cutoff_lit(cutoff), F.col(out_date))))
+              .withColumn(AGE, F.datediff(cutoff_lit(cutoff), F.col(out_date))))
 
 
-def _tx_prepared(tx: DataFrame, cutoff) -> DataFrame:
-    tx = tx.withColumn("membership_expire_date", as_date(tx, "membership_expire_date"))
-    return asof_filter(tx, "transaction_date", cutoff)
+def _tx_as_of(tx: DataFrame, cutoff) -> DataFrame:
+    t = asof_filter(tx.withColumn("membership_expire_date", as_date(tx, "membership_expire_date")), "transaction_date", cutoff)
+    return _tx_measures(t, cutoff_lit(cutoff))
 
 
-def _latest_struct(tx: DataFrame, cutoff, tie_break: str | None) -> Column:
-    """``max_by`` of the latest transaction's state.
+def _tx_measures(t: DataFrame, cutoff: Column) -> DataFrame:
+    return (t.withColumn("membership_expires_in_days", F.datediff(F.col("membership_expire_date"), cutoff))
+             .withColumn("discount", F.col("plan_list_price") - F.col("actual_amount_paid"))
+             .withColumn("cancelled", F.col("is_cancel").cast("long")))
+
+
+LATEST_COLUMNS = {**LATEST_TX_FIELDS, AGE: "days_since_last_transaction",
+                  "membership_expires_in_days": "membership_expires_in_days"}
+
+
+def _recency(t: DataFrame, tie_break: str | None) -> Column:
+    """Order of a member's transactions: date, then the unique id.
+
+    With an integral id this is one decimal (ids stay below 10^19), which an
+    aggregate buffer holds in place.  Without one the row's fields decide."""
+    if tie_break in t.columns and isinstance(t.schema[tie_break].dataType, T.IntegralType):
+        day = F.unix_date("transaction_date").cast("decimal(18,0)") * F.lit(Decimal(10 ** 20)).cast("decimal(21,0)")
+        return (day.cast("decimal(38,0)") + F.col(tie_break).cast("decimal(38,0)")).cast("decimal(38,0)")
+    rest = [tie_break] if tie_break in t.columns else [*LATEST_TX_FIELDS, "membership_expire_date"]
+    return F.struct("transaction_date", *rest)
 
-    Order: transaction date, then ``tie_break`` (a unique id) so same-day
-    ties are deterministic; without an id, the whole row breaks ties.
-    """
-    value = F.struct(
-        *[F.col(src).alias(dst) for src, dst in LATEST_TX_FIELDS.items()],
-        F.col("days_before_cutoff").alias("days_since_last_transaction"),
-        F.datediff(F.col("membership_expire_date"), cutoff_lit(cutoff)).alias("membership_expires_in_days"),
-    )
-    if tie_break and tie_break in tx.columns:
-        order = F.struct(F.col("transaction_date"), F.col(tie_break))
-    else:
-        order = F.struct(F.col("transaction_date"), *[F.col(c) for c in LATEST_TX_FIELDS],
-                         F.col("membership_expire_date"))
-    return F.max_by(value, order)
-
-
-def _latest_columns() -> list[Column]:
-    names = list(LATEST_TX_FIELDS.values()) + ["days_since_last_transaction", "membership_expires_in_days"]
-    return [F.col(f"_latest.{n}").alias(n) for n in names]
-
-
-def _tx_window_aggs(windows: Sequence[int]) -> list[Column]:
-    dbc = F.col("days_before_cutoff")
-    discount = F.col("plan_list_price") - F.col("actual_amount_paid")
-    return [
-        *[F.count_if(dbc <= d).alias(f"n_transactions_last_{d}d") for d in windows],
-        F.countDistinct(F.when(dbc <= DISTINCT_PLAN_WINDOW_DAYS, F.col("plan_list_price")))
-         .alias(f"n_distinct_plans_last_{DISTINCT_PLAN_WINDOW_DAYS}d"),
-        F.sum(F.col("is_cancel").cast("int")).cast("long").alias("n_cancellations_lifetime"),
-        F.count(F.lit(1)).alias("n_transactions_lifetime"),
-        F.avg(discount).alias("avg_discount_lifetime"),
-    ]
+
+def _windowed_tx(windows: Sequence[int]) -> list[Feature]:
+    return [*(Feature(f"n_transactions_last_{d}d", "count", ages=(0, d)) for d in windows),
+            Feature("_plan_rows", "count", ages=(0, DISTINCT_PLAN_WINDOW_DAYS)),
+            Feature("n_cancellations_lifetime", "sum", "cancelled"),
+            Feature("n_transactions_lifetime", "count"),
+            Feature("_discount", "sum", "discount"), Feature("_discounts", "count", "discount")]
+
+
+def _latest(t: DataFrame, keys: Sequence[str], tie_break: str | None) -> DataFrame:
+    t = t.withColumn("_recency", _recency(t, tie_break))
+    return t.groupBy(*keys).agg(*[F.max_by(c, "_recency").alias(n) for c, n in LATEST_COLUMNS.items()])
+
+
+def _tx_member_aggregate(t: DataFrame, keys: Sequence[str], windows: Sequence[int], tie_break: str | None,
+                         latest: bool) -> DataFrame:
+    """Per (member, list price) first, then per member."""
+    features = _windowed_tx(windows)
+    t = t.withColumn("_recency", _recency(t, tie_break) if latest else F.lit(0))
+    fields = [f for f in LATEST_COLUMNS if f != "plan_list_price"] if latest else []
+    by_plan = t.groupBy(*keys, "plan_list_price").agg(
+        *aggregates(features), F.max("_recency").alias("_latest"),
+        *[F.max_by(c, "_recency").alias(f"_last_{c}") for c in fields])
+    by_plan = by_plan.withColumn("_last_plan_list_price", F.col("plan_list_price"))
+    state = [F.max_by(f"_last_{c}", "_latest").alias(n) for c, n in LATEST_COLUMNS.items()] if latest else []
+    totals = [F.sum(f.name).alias(f.name) for f in features if f.name != "_plan_rows"]
+    plans = F.count_if((F.col("_plan_rows") > 0) & F.col("plan_list_price").isNotNull())
+    distinct = f"n_distinct_plans_last_{DISTINCT_PLAN_WINDOW_DAYS}d"
+    out = by_plan.groupBy(*keys).agg(*state, *totals, plans.alias(distinct))
+    names = [n for n in LATEST_COLUMNS.values() if latest] + [f"n_transactions_last_{d}d" for d in windows]
+    mean = F.when(F.col("_discounts") > 0, F.col("_discount") / F.col("_discounts"))
+    return out.select(*keys, *names, distinct, "n_cancellations_lifetime", "n_transactions_lifetime",
+                      mean.alias("avg_discount_lifetime"))
 
 
 def latest_transaction(tx: DataFrame, cutoff, key: str = "msno", tie_break: str | None = "tx_id",
                        cohort: DataFrame | None = None) -> DataFrame:
     """W1 + P7 + P8: current plan/payment state = latest transaction as of cutoff."""
-    t = _tx_prepared(tx, cutoff)
-    out = t.groupBy(key).agg(_latest_struct(t, cutoff, tie_break).alias("_latest"))
-    return _semi(out.select(key, *_latest_columns()), cohort, key)
+    return _semi(_latest(_tx_as_of(tx, cutoff), [key], tie_break), cohort, [key])
 
 
 def transaction_window_features(tx: DataFrame, cutoff, key: str = "msno",
                                 windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS,
                                 cohort: DataFrame | None = None) -> DataFrame:
     """Windowed counts, distinct plans, lifetime sums/avg."""
-    t = _tx_prepared(tx, cutoff)
-    return _semi(t.groupBy(key).agg(*_tx_window_aggs(windows)), cohort, key)
+    return _semi(_tx_member_aggregate(_tx_as_of(tx, cutoff), [key], windows, None, latest=False), cohort, [key])
 
 
 def transaction_features(tx: DataFrame, cutoff, key: str = "msno", tie_break: str | None = "tx_id",
                          windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS,
                          cohort: DataFrame | None = None) -> DataFrame:
-    """Latest state and window aggregates in ONE aggregate (no self-join)."""
-    t = _tx_prepared(tx, cutoff)
-    agg = t.groupBy(key).agg(_latest_struct(t, cutoff, tie_break).alias("_latest"),
-                             *_tx_window_aggs(windows))
-    cols = [c for c in agg.columns if c not in (key, "_latest")]
-    return _semi(agg.select(key, *_latest_columns(), *cols), cohort, key)
+    """Latest state and window aggregates together (no self-join)."""
+    return _semi(_tx_member_aggregate(_tx_as_of(tx, cutoff), [key], windows, tie_break, latest=True), cohort, [key])
 
 
 # --------------------------------------------------------------- user logs
 
+def _log_date(logs: DataFrame, date_col: str | None) -> Column:
+    return as_date(logs, date_col or ("log_date" if "log_date" in logs.columns else "date"))
+
+
 def daily_activity(logs: DataFrame, cutoff, key: str = "msno", date_col: str | None = None) -> DataFrame:
-    """Day-level pre-aggregate: one row per (member, active day) on/before cutoff."""
-    if date_col is None:
-        date_col = "log_date" if "log_date" in logs.columns else "date"
-    d = as_date(logs, date_col)
-    measures = [*PLAY_COLUMNS, "num_unq", "total_secs"]
+    """One row per (member, active day) on/before the cutoff, measures summed."""
+    d = _log_date(logs, date_col)
     return (logs.where(d <= cutoff_lit(cutoff))
                 .groupBy(F.col(key), d.alias("log_date"))
-                .agg(*[F.sum(m).alias(m) for m in measures])
-                .withColumn("days_before_cutoff", F.datediff(cutoff_lit(cutoff), F.col("log_date"))))
+                .agg(*aggregates([Feature(m, "sum", m) for m in [*PLAY_COLUMNS, "num_unq", "total_secs"]]))
+                .withColumn(AGE, F.datediff(cutoff_lit(cutoff), F.col("log_date"))))
+
+
+def _logs_as_of(logs: DataFrame, cutoff, date_col: str | None) -> DataFrame:
+    d = _log_date(logs, date_col)
+    return logs.where(d <= cutoff_lit(cutoff)).withColumn("log_date", d).withColumn(
+        AGE, F.datediff(cutoff_lit(cutoff), F.col("log_date")))
 
 
 def user_log_features(logs: DataFrame, cutoff, key: str = "msno", cohort: DataFrame | None = None,
                       windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS, date_col: str | None = None) -> DataFrame:
     """Window sums, active days, lifetime sums,
     completion ratio and engagement momentum, all from one member aggregate."""
-    daily = _semi(daily_activity(logs, cutoff, key, date_col), cohort, key)
-    return _log_member_aggregate(daily, [key], windows)
+    return _semi(_log_member_aggregate(_logs_as_of(logs, cutoff, date_col), [key], windows), cohort, [key])
+
 
+def _day_bits(longest: int) -> list[Column]:
+    """Long k has a bit for each active day of ages 64 k to 64 k + 63."""
+    age = F.col(AGE)
+    flag = F.expr(f"shiftleft(1L, {AGE} % {BITS})")
+    return [F.bit_or(F.when(F.floor(age / BITS) == k, flag)).alias(f"_days{k}") for k in range(longest // BITS + 1)]
 
-def _log_member_aggregate(daily: DataFrame, group: Sequence[str], windows: Sequence[int]) -> DataFrame:
-    dbc = F.col("days_before_cutoff")
 
-    def within(d: int, name: str) -> Column:
-        return F.sum(F.when(dbc <= d, F.col(name)).otherwise(0)).alias(f"{name}_last_{d}d")
+def _active_days(window: int) -> Column:
+    """Days of ages 0 to ``window`` that have a bit."""
+    total = F.lit(0)
+    for k in range(window // BITS + 1):
+        n = min(BITS, window + 1 - k * BITS)
+        mask = -1 if n == BITS else (1 << n) - 1
+        total = total + F.coalesce(F.bit_count(F.col(f"_days{k}").bitwiseAND(F.lit(mask).cast("long"))), F.lit(0))
+    return total.cast("long").alias(f"active_days_last_{window}d")
 
-    aggs: list[Column] = []
-    for d in windows:
-        aggs += [within(d, "total_secs"), within(d, "num_100"), within(d, "num_unq"),
-                 F.count_if(dbc <= d).alias(f"active_days_last_{d}d")]
-    aggs += [F.min(dbc).alias("days_since_last_log"),
-             *[F.sum(c).cast("long").alias(f"{c}_lifetime") for c in PLAY_COLUMNS],
-             F.sum(F.when((dbc > MOMENTUM_RECENT_DAYS) & (dbc <= MOMENTUM_PRIOR_END_DAYS),
-                          F.col("total_secs")).otherwise(0)).alias("_prior_secs"),
-             F.sum(F.when(dbc <= MOMENTUM_RECENT_DAYS, F.col("total_secs")).otherwise(0)).alias("_recent_secs")]
-    agg = daily.groupBy(*group).agg(*aggs)
-    total_plays = sum((F.col(f"{c}_lifetime") for c in PLAY_COLUMNS[1:]), F.col(f"{PLAY_COLUMNS[0]}_lifetime"))
-    return (agg.withColumn("completion_ratio", guarded_ratio(F.col("num_100_lifetime"), total_plays))
-               .withColumn("engagement_momentum", guarded_ratio(F.col("_recent_secs"), F.col("_prior_secs")))
-               .drop("_prior_secs", "_recent_secs"))
+
+def _log_member_aggregate(logs: DataFrame, keys: Sequence[str], windows: Sequence[int]) -> DataFrame:
+    features = [Feature(f"{m}_last_{d}d", "sum", m, (0, d)) for d in windows for m in WINDOWED_LOG_MEASURES]
+    features += [Feature(f"{c}_lifetime", "sum", c) for c in PLAY_COLUMNS]
+    features += [Feature("days_since_last_log", "min", AGE),
+                 Feature("_recent_secs", "sum", "total_secs", (0, MOMENTUM_RECENT_DAYS)),
+                 Feature("_prior_secs", "sum", "total_secs", (MOMENTUM_RECENT_DAYS + 1, MOMENTUM_PRIOR_END_DAYS))]
+    agg = logs.groupBy(*keys).agg(*aggregates(features), *_day_bits(max(windows)))
+    plays: Callable[[], Column] = lambda: sum((F.col(f"{c}_lifetime") for c in PLAY_COLUMNS), F.lit(0))
+    ratios = {"completion_ratio": guarded_ratio(F.col("num_100_lifetime"), plays()),
+              "engagement_momentum": guarded_ratio(F.col("_recent_secs"), F.col("_prior_secs"))}
+    by_window = [c for d in windows for c in [*(F.col(f"{m}_last_{d}d") for m in WINDOWED_LOG_MEASURES), _active_days(d)]]
+    return agg.select(*keys, *by_window, "days_since_last_log", *[F.col(f"{c}_lifetime").cast("long").alias(f"{c}_lifetime") for c in PLAY_COLUMNS],
+                      *[c.alias(n) for n, c in ratios.items()])
 
 
 # ----------------------------------------------------------------- assembly
 
+def _assemble(labels: DataFrame, keys: Sequence[str], groups: Sequence[DataFrame]) -> DataFrame:
+    """Left joins on the keys; members without a group's rows keep nulls."""
+    out = labels
+    for g in groups:
+        out = out.join(g, list(keys), "left")
+    return out
+
+
 def feature_snapshot(labels: DataFrame, members: DataFrame, transactions: DataFrame, logs: DataFrame,
                      cutoff, period: str, key: str = "msno", tie_break: str | None = "tx_id",
                      windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS) -> DataFrame:
     """J5 + P12: one row per labelled member, left-joined to every feature group.
 
-    Members without transactions or logs keep their row with null features.
     All inputs are keyed by member, so the joins are co-partitioned on the
     key (sort-merge) or broadcast when a side is measured small.
     """
     cohort = labels.select(key)
-    m = member_features(members, cutoff, key)
-    t = transaction_features(transactions, cutoff, key, tie_break, windows, cohort=cohort)
-    lg = user_log_features(logs, cutoff, key, cohort=cohort, windows=windows)
-    return (labels.join(m, key, "left").join(t, key, "left").join(lg, key, "left")
-                  .withColumn("period", F.lit(period))
-                  .withColumn("cutoff_date", cutoff_lit(cutoff)))
+    groups = [member_features(members, cutoff, key),
+              transaction_features(transactions, cutoff, key, tie_break, windows, cohort=cohort),
+              user_log_features(logs, cutoff, key, cohort=cohort, windows=windows)]
+    return _assemble(labels, [key], groups).withColumns({"period": F.lit(period), "cutoff_date": cutoff_lit(cutoff)})
 
 
 def feature_snapshots(labels: DataFrame, members: DataFrame, transactions: DataFrame, logs: DataFrame,
@@ -231,45 +297,27 @@ def feature_snapshots(labels: DataFrame, members: DataFrame, transactions: DataF
     ``labels`` carries a ``period`` column; ``cutoffs`` maps period ->
     cutoff.  Same rows and columns as :func:`feature_snapshot` per period,
     given sources that hold every period's rows (e.g. the union of all
-    deliveries).  Each table is scanned once with the latest cutoff pushed
-    to the scan; logs are pre-aggregated per (member, day) once; then every
-    row is tagged with each period whose cutoff it precedes (a Generate
-    after the scan, at most ``len(cutoffs)`` rows out per row in) and the
-    member aggregates are keyed by (period, member).  Against one snapshot
-    per period this reads the log table once instead of ``len(cutoffs)``
-    times.
+    deliveries).  Each table is read with the latest cutoff pushed to the
+    scan; every row is tagged with each period whose cutoff it precedes (at
+    most ``len(cutoffs)`` rows out per row in).
     """
     latest = max(str(c)[:10] for c in cutoffs.values())
-    tag = F.explode(F.array(*[F.struct(F.lit(p).alias(period_col), cutoff_lit(c).alias("cutoff_date"))
-                              for p, c in cutoffs.items()])).alias("_pc")
-    cut = F.col("cutoff_date")
-    cohort = labels.select(period_col, key)
-
-    def per_period(df: DataFrame, date_col: str) -> DataFrame:
-        return (df.select("*", tag).select("*", "_pc.*").drop("_pc")
-                  .where(F.col(date_col) <= cut)
-                  .withColumn("days_before_cutoff", F.datediff(cut, F.col(date_col))))
-
-    m = member_features(members.select("*", tag).select("*", "_pc.*").drop("_pc"), cut, key, keep=[period_col])
-
-    d = as_date(transactions, "transaction_date")
-    tx = (transactions.where(d <= cutoff_lit(latest))
-                      .withColumn("membership_expire_date", as_date(transactions, "membership_expire_date"))
-                      .withColumn("transaction_date", d))
-    t = per_period(tx, "transaction_date")
-    tagg = t.groupBy(period_col, key).agg(_latest_struct(t, cut, tie_break).alias("_latest"),
-                                          *_tx_window_aggs(windows))
-    tcols = [c for c in tagg.columns if c not in (period_col, key, "_latest")]
-    tagg = tagg.join(cohort, [period_col, key], "left_semi").select(period_col, key, *_latest_columns(), *tcols)
-
-    daily = per_period(daily_activity(logs, latest, key).drop("days_before_cutoff"), "log_date")
-    daily = daily.join(cohort, [period_col, key], "left_semi")
-    lg = _log_member_aggregate(daily, [period_col, key], windows)
-
-    cutoff_date = None
-    for p, c in cutoffs.items():
-        cutoff_date = (F.when(F.col(period_col) == p, cutoff_lit(c)) if cutoff_date is None
-                       else cutoff_date.when(F.col(period_col) == p, cutoff_lit(c)))
-    on = [period_col, key]
-    return (labels.join(m, on, "left").join(tagg, on, "left").join(lg, on, "left")
-                  .withColumn("cutoff_date", cutoff_date))
+    tags = F.explode(F.array(*[F.struct(F.lit(p).alias(period_col), cutoff_lit(c).alias("cutoff_date")) for p, c in cutoffs.items()]))
+    keys, cut = [period_col, key], F.col("cutoff_date")
+    cohort = labels.select(*keys)
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return df.select("*", tags.alias("_tag")).select("*", "_tag.*").drop("_tag")
+
+    def visible(df: DataFrame, date_col: str) -> DataFrame:
+        return tagged(df).where(F.col(date_col) <= cut).withColumn(AGE, F.datediff(cut, F.col(date_col)))
+
+    tx = asof_filter(transactions.withColumn("membership_expire_date", as_date(transactions, "membership_expire_date")),
+                     "transaction_date", latest).drop(AGE)
+    tx = _tx_measures(visible(tx, "transaction_date"), cut)
+    log_rows = visible(_logs_as_of(logs, latest, None).drop(AGE), "log_date")
+    groups = [member_features(tagged(members), cut, key, keep=[period_col]),
+              _semi(_tx_member_aggregate(tx, keys, windows, tie_break, latest=True), cohort, keys),
+              _semi(_log_member_aggregate(log_rows, keys, windows), cohort, keys)]
+    dates = F.create_map(*[x for p, c in cutoffs.items() for x in (F.lit(p), cutoff_lit(c))])
+    return _assemble(labels, keys, groups).withColumn("cutoff_date", F.try_element_at(dates, F.col(period_col)))

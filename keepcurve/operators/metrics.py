@@ -97,24 +97,24 @@ def best_f1_threshold(df: DataFrame, label: str = "label", score: str = "score",
                       thresholds: Sequence[float] = F1_THRESHOLDS, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Threshold of the grid with the highest F1; the lowest wins ties.
 
-    One pass computes tp/pred-positive counts for every grid point as
-    conditional counts; the 99-row result is unpivoted and reduced with
-    ``max_by`` -- nothing returns to the driver.
+    Each score goes to the number of thresholds at or below it; positives and
+    rows per such bucket (at most one more than thresholds) are one hash
+    aggregate, and sums over the buckets above a threshold give its counts.
     """
-    y = F.col(label) == 1
-    aggs = [F.count_if(y).alias("_P")]
-    for i, t in enumerate(thresholds):
-        pred = F.col(score) >= F.lit(float(t))
-        aggs += [F.count_if(pred & y).alias(f"_tp{i}"), F.count_if(pred).alias(f"_pp{i}")]
-    c = df.groupBy(*partition_cols).agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(t)).alias("t"),
-                              F.col(f"_tp{i}").alias("tp"), F.col(f"_pp{i}").alias("pp"))
-                     for i, t in enumerate(thresholds)])
-    u = c.select(*partition_cols, "_P", F.explode(rows).alias("r")).select(*partition_cols, "_P", "r.*")
-    u = u.withColumn("f1", _f1(F.col("tp"), F.col("pp") - F.col("tp"), F.col("_P") - F.col("tp")))
-    best = F.max_by(F.struct("t", "f1"), F.struct(F.col("f1"), -F.col("i")))
-    return u.groupBy(*partition_cols).agg(best.alias("b")).select(
-        *partition_cols, F.col("b.t").alias("threshold"), F.col("b.f1").alias("f1"))
+    P = list(partition_cols)
+    grid = F.array(*[F.lit(float(t)) for t in sorted(thresholds)])
+    reached = F.size(F.filter(grid, lambda t: t <= F.col(score)))
+    cells = (df.where(F.col(score).isNotNull()).withColumn("reached", reached)
+               .groupBy(*P, "reached").agg(F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("rows")))
+    positives = df.groupBy(*P).agg(F.count_if(F.col(label) == 1).alias("all_pos"))
+    places = F.explode(F.transform(grid, lambda t, i: F.struct((i + 1).alias("place"), t.alias("threshold"))))
+    g = positives.select(*P, "all_pos", places.alias("g")).select(*P, "all_pos", "g.*")
+    on = [g[p].eqNullSafe(cells[p]) for p in P] + [cells["reached"] >= g["place"]]
+    c = g.join(F.broadcast(cells), on, "left").groupBy(*[g[p] for p in P], "all_pos", "place", "threshold").agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"), F.coalesce(F.sum("rows"), F.lit(0)).alias("pp"))
+    c = c.withColumn("f1", _f1(F.col("tp"), F.col("pp") - F.col("tp"), F.col("all_pos") - F.col("tp")))
+    best = c.groupBy(*P).agg(F.min(F.struct((-F.col("f1")).alias("loss"), "place", "threshold")).alias("b"))
+    return best.select(*P, F.col("b.threshold").alias("threshold"), (-F.col("b.loss")).alias("f1"))
 
 
 def classification_report(df: DataFrame, threshold: float, label: str = "label", score: str = "score",

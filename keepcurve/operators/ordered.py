@@ -3,163 +3,77 @@
 ``Window.orderBy`` without ``partitionBy`` moves every row into one task, so
 it is never used on member-sized data here.  Instead (survey section 4.3):
 
-1. bucket edges: ``percentile_approx`` over the ordering value gives at most
-   ``n_buckets`` literal split points (a bounded list on the driver);
-   equal values can never straddle buckets because the edges are values;
-2. a value so frequent that it fills whole buckets ("hot" tie block) gets a
-   singleton bucket, which is split further by the unique tie-break key,
-   so no single task ever sorts a hot block;
-3. per-bucket totals (a table of at most ~n_buckets rows per partition
-   group) and their exclusive prefix;
-4. a local window ``partitionBy(bucket).orderBy(value, tie)`` plus the
-   bucket's offset.
-
-Only equality-free, order-consistent pieces are computed on the driver: the
-split points.  All counting runs in Spark.
+1. rows are range-partitioned by (group, value, tie-break) with Spark's own
+   sampled split points over the whole key, whatever its types, so a value
+   with many rows is divided by its tie-break and no range grows with it;
+2. the result is written to the checkpoint folder, which fixes each row's
+   range for all that follows;
+3. totals per (group, range), a table of at most groups x ranges rows, and
+   their exclusive prefix give each range's offset;
+4. a window within each range, plus the offset.
+
+There is one path for every input size.  Order is Spark's: NaN above all
+numbers (so first when descending), rows with a null value are dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
-# A value is split by its tie-break only when it really is a heavy hitter
-# (more rows than one sort task should hold); smaller repeats are harmless.
-HOT_MIN_ROWS = 200_000
-# Inputs with at most this many rows (counted exactly, in the same job that
-# samples the bucket edges) take a plain window: at that size one sort task
-# per group is cheaper than the bucket bookkeeping.  Typical cases: tables
-# already collapsed to distinct whole-day durations or rounded scores.
-SMALL_ROWS = 100_000
-
-
-def _order_key(df: DataFrame, name: str) -> Column:
-    """Order-preserving double for bucketing by ``name``.
-
-    Numbers cast directly.  Strings map to their first 6 UTF-8 bytes,
-    zero-padded (binary string order, exact in a double's 53 bits); rows
-    sharing that prefix share a sub-bucket and the in-bucket window orders
-    them by the full string.  Dates / timestamps go through epoch numbers.
-    """
-    from pyspark.sql import types as T
-
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.StringType):
-        hexed = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(hexed, 16, 10).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
-
-
-def _edges(df: DataFrame, col: Column, n_buckets: int, with_count: bool = False):
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = max(10000, 8 * n_buckets)
-    row = df.select(F.percentile_approx(col, qs, acc).alias("e"), F.count(F.lit(1)).alias("n")).first()
-    edges = [] if row is None or row["e"] is None else [float(x) for x in row["e"]]
-    return (edges, int(row["n"]) if row is not None else 0) if with_count else edges
-
-
-def _bucketize(df: DataFrame, in_col: str, out_col: str, edges: Sequence[float]) -> DataFrame:
-    # infinite values fall in the open end buckets; they are never edges
-    splits = [-float("inf")] + sorted(set(e for e in edges if np.isfinite(e))) + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out_col, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=in_col, outputCol=out_col, handleInvalid="keep").transform(df)
+from keepcurve.session import cut_lineage
 
 
 def row_prefix(df: DataFrame, value_col: str, tiebreak_col: str | None = None,
                measures: Mapping[str, Column] | None = None, partition_cols: Sequence[str] = (),
-               descending: bool = False, n_buckets: int = DEFAULT_BUCKETS,
+               descending: bool = False, n_ranges: int | None = None,
                rn_col: str = "rn", n_col: str = "n_total") -> DataFrame:
     """Row numbers and running sums in a global order, without a global sort.
 
     Order is ``value_col`` (ascending, or descending) then ``tiebreak_col``
-    ascending, within each ``partition_cols`` group (expected to be few
-    groups, e.g. strata or periods).  Rows with a null value are dropped.
+    ascending, within each ``partition_cols`` group.  Rows with a null value
+    are dropped.  ``n_ranges`` (default: the session's shuffle partitions) is
+    the number of sorted ranges.
 
     Adds: ``rn`` (1-based), ``n_total`` (rows in the group) and, for each
     measure ``m``, ``cum_m`` (inclusive running sum) and ``tot_m``.
     """
     measures = dict(measures or {})
-    P = list(partition_cols)
-    k1 = (-F.col(value_col).cast("double")) if descending else F.col(value_col).cast("double")
-    base = df.where(F.col(value_col).isNotNull()).withColumn("_k1", k1)
-    for m, expr in measures.items():
-        base = base.withColumn(f"_m_{m}", expr)
-
-    raw_edges, n_rows = _edges(base, F.col("_k1"), n_buckets, with_count=True)
+    groups = list(partition_cols)
     order = ([F.col(value_col).desc() if descending else F.col(value_col).asc()]
              + ([F.col(tiebreak_col).asc()] if tiebreak_col else []))
-    if n_rows <= SMALL_ROWS:
-        w = Window.partitionBy(*P).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        wt = Window.partitionBy(*P)
-        out = base.withColumn(rn_col, F.row_number().over(Window.partitionBy(*P).orderBy(*order)).cast("long"))
-        out = out.withColumn(n_col, F.count(F.lit(1)).over(wt))
-        for m in measures:
-            out = (out.withColumn(f"cum_{m}", F.sum(f"_m_{m}").over(w))
-                      .withColumn(f"tot_{m}", F.sum(f"_m_{m}").over(wt)))
-        return out.drop("_k1", *[f"_m_{m}" for m in measures])
-    # Hot values: occupy two or more quantile points => at least ~1/n_buckets of rows.
-    vals, counts = np.unique(np.array(raw_edges), return_counts=True) if raw_edges else ([], [])
-    hot = [float(v) for v, c in zip(vals, counts) if c >= 2 and np.isfinite(v)] if tiebreak_col else []
-    if hot:
-        # confirm with exact counts (one small aggregate over the candidates)
-        big = (base.where(F.col("_k1").isin(hot)).groupBy("_k1").count()
-                   .where(F.col("count") >= HOT_MIN_ROWS).collect())
-        hot = sorted(float(r["_k1"]) for r in big)
-    splits = set(e for e in raw_edges if np.isfinite(e))
-    for v in hot:
-        splits.add(v)
-        splits.add(float(np.nextafter(v, np.inf)))
-    base = _bucketize(base, "_k1", "_b1", sorted(splits))
-
-    if hot:
-        all_splits = [-float("inf")] + sorted(splits) + [float("inf")]
-        hot_ids = [float(all_splits.index(v)) for v in hot]
-        hot_rows = base.where(F.col("_b1").isin(hot_ids))
-        tk = _order_key(base, tiebreak_col)
-        sub = _edges(hot_rows, tk, n_buckets)
-        base = _bucketize(base.withColumn("_k2", tk), "_k2", "_b2s", sub)
-        base = base.withColumn("_b2", F.when(F.col("_b1").isin(hot_ids), F.col("_b2s")).otherwise(F.lit(0.0)))
-        base = base.drop("_k2", "_b2s")
-    else:
-        base = base.withColumn("_b2", F.lit(0.0))
-
-    mcols = [f"_m_{m}" for m in measures]
-    # Per-bucket totals -> exclusive prefix over buckets (small table).
-    bt = base.groupBy(*P, "_b1", "_b2").agg(F.count(F.lit(1)).alias("_bn"),
-                                            *[F.sum(c).alias(f"_bs{c}") for c in mcols])
-    wb = Window.partitionBy(*P).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-    wt = Window.partitionBy(*P)
-    bt = bt.select(*P, "_b1", "_b2",
-                   F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_off_n"),
-                   F.sum("_bn").over(wt).alias(n_col),
-                   *[F.coalesce(F.sum(f"_bs{c}").over(wb), F.lit(0)).alias(f"_off{c}") for c in mcols],
-                   *[F.sum(f"_bs{c}").over(wt).alias(f"tot_{c[3:]}") for c in mcols])
-    if not P:
-        bt = F.broadcast(bt)  # at most n_buckets * (1 + hot * n_buckets) rows
-    joined = base.join(bt, [*P, "_b1", "_b2"])
-    # Order inside a bucket by the original value (exact for 64-bit keys).
-    wl = Window.partitionBy(*P, "_b1", "_b2").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = joined.withColumn(rn_col, (F.col("_off_n") + F.count(F.lit(1)).over(wl)).cast("long"))
-    for c in mcols:
-        out = out.withColumn(f"cum_{c[3:]}", F.col(f"_off{c}") + F.sum(c).over(wl))
-    drop = ["_k1", "_b1", "_b2", "_off_n"] + mcols + [f"_off{c}" for c in mcols]
-    return out.drop(*drop)
+    base = df.where(F.col(value_col).isNotNull())
+    for m, expr in measures.items():
+        base = base.withColumn(f"_m_{m}", expr)
+    n_ranges = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = base.repartitionByRange(n_ranges, *[F.col(g) for g in groups], *order)
+    ranged = cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
+
+    totals = ranged.groupBy(*groups, "_range").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_m_{m}").alias(f"_sum_{m}") for m in measures])
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    key = [*groups, "_range"]
+    offsets = totals.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)],
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+        F.sum("_rows").over(whole).alias(n_col),
+        *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
+        *[F.sum(f"_sum_{m}").over(whole).alias(f"tot_{m}") for m in measures])
+    out = ranged.join(offsets, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)])
+    inside = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn(rn_col, (F.col("_rows_before") + F.count(F.lit(1)).over(inside)).cast("long"))
+    for m in measures:
+        out = out.withColumn(f"cum_{m}", F.col(f"_before_{m}") + F.sum(f"_m_{m}").over(inside))
+    return out.drop("_range", "_rows_before", *[f"_key{i}" for i in range(len(key))],
+                    *[f"_m_{m}" for m in measures], *[f"_before_{m}" for m in measures])
 
 
 def value_prefix(df: DataFrame, value_col: str, measures: Mapping[str, Column] | None = None,
                  partition_cols: Sequence[str] = (), descending: bool = False,
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 n_ranges: int | None = None) -> DataFrame:
     """One row per (group, distinct value) with tie-collapsed totals.
 
     Ties are collapsed first by a partial + final aggregate (a hot value
@@ -180,7 +94,7 @@ def value_prefix(df: DataFrame, value_col: str, measures: Mapping[str, Column] |
                   .groupBy(*P, value_col)
                   .agg(F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(m) for m, e in measures.items()]))
     ms = {"n": F.col("n"), **{m: F.col(m) for m in measures}}
-    out = row_prefix(distinct, value_col, None, ms, P, descending, n_buckets, rn_col="_rank", n_col="_nd")
+    out = row_prefix(distinct, value_col, None, ms, P, descending, n_ranges, rn_col="_rank", n_col="_nd")
     out = (out.drop("_rank", "_nd").withColumnRenamed("tot_n", "n_total")
               .withColumn("n_before", F.col("cum_n") - F.col("n")).drop("cum_n"))
     for m in measures:
@@ -189,7 +103,7 @@ def value_prefix(df: DataFrame, value_col: str, measures: Mapping[str, Column] |
 
 
 def average_ranks(df: DataFrame, value_col: str, out_col: str = "rank_avg", pct_col: str | None = None,
-                  partition_cols: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  partition_cols: Sequence[str] = (), n_ranges: int | None = None) -> DataFrame:
     """Ties-averaged rank of each row (1-based), and optionally rank/n.
 
     Equivalent to pandas ``rank(method='average'[, pct=True])``; rows with a
@@ -198,7 +112,7 @@ def average_ranks(df: DataFrame, value_col: str, out_col: str = "rank_avg", pct_
     table only when it is measured small, and AQE splits a skewed join key.
     """
     P = list(partition_cols)
-    vp = value_prefix(df, value_col, None, P, False, n_buckets)
+    vp = value_prefix(df, value_col, None, P, False, n_ranges)
     ranks = vp.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(P)], F.col(value_col).alias("_v"),
                       (F.col("n_before") + (F.col("n") + 1) / 2.0).alias(out_col),
                       F.col("n_total").alias("_nt"))
@@ -210,37 +124,29 @@ def average_ranks(df: DataFrame, value_col: str, out_col: str = "rank_avg", pct_
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
-                    partition_cols: Sequence[str] = (), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    partition_cols: Sequence[str] = (), n_ranges: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default).
 
     Position ``h = (n - 1) q``; the value at order position ``j`` is the
-    distinct value whose cumulative count range covers ``j``.  The
-    positions table has ``len(probs)`` rows per group, so the range join
-    against the distinct-value table streams it once (broadcast of a
-    bounded table).  Output: partition cols, ``q`` (index), ``prob``,
+    distinct value whose cumulative count range covers ``j``.  One aggregate
+    over the distinct values picks the values at floor(h) and ceil(h) of
+    every probability.  Output: partition cols, ``q`` (index), ``prob``,
     ``value``.
     """
     P = list(partition_cols)
-    vp = value_prefix(df, value_col, None, P, False, n_buckets)
-    totals = vp.groupBy(*P).agg(F.first("n_total").alias("_n"))
-    qarr = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(q)).alias("prob")) for i, q in enumerate(probs)])
-    pos = (totals.select(*P, "_n", F.explode(qarr).alias("_qs"))
-                 .select(*P, "_n", "_qs.q", "_qs.prob")
-                 .withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
-                 .withColumn("_lo", F.floor("_h").cast("long"))
-                 .withColumn("_hi", F.ceil("_h").cast("long"))
-                 .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    # two range lookups: value at floor(h) and at ceil(h)
-    vr = vp.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(P)],
-                   F.col("n_before").alias("_nb"), F.col("n").alias("_nn"),
-                   F.col(value_col).cast("double").alias("_val"))
-    looks = []
-    for tag in ("_lo", "_hi"):
-        p = pos.select(*P, "q", F.col(tag).alias("_j"))
-        cond = ((F.col("_nb") <= F.col("_j")) & (F.col("_j") < F.col("_nb") + F.col("_nn")))
-        for i, c in enumerate(P):
-            cond = cond & (F.col(c) == F.col(f"_p{i}"))
-        looks.append(F.broadcast(p).join(vr, cond).select(*P, "q", F.col("_val").alias(f"_v{tag}")))
-    out = pos.join(looks[0], [*P, "q"]).join(looks[1], [*P, "q"])
-    val = F.col("_v_lo") + F.col("_frac") * (F.col("_v_hi") - F.col("_v_lo"))
-    return out.select(*P, "q", "prob", val.alias("value"))
+    vp = value_prefix(df, value_col, None, P, False, n_ranges)
+    value = F.col(value_col).cast("double")
+    last = F.col("n_before") + F.col("n") - 1
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("n_before") <= position) & (position <= last), value))
+
+    h = [(F.col("n_total") - 1) * F.lit(float(q)) for q in probs]
+    found = vp.groupBy(*P).agg(F.first("n_total").alias("_n"), *[at(F.floor(x)).alias(f"_lo{i}") for i, x in enumerate(h)],
+                               *[at(F.ceil(x)).alias(f"_hi{i}") for i, x in enumerate(h)])
+    rows = []
+    for i, q in enumerate(probs):
+        position = (F.col("_n") - 1) * F.lit(float(q))
+        v = F.col(f"_lo{i}") + (position - F.floor(position)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+        rows.append(F.struct(F.lit(i).alias("q"), F.lit(float(q)).alias("prob"), v.alias("value")))
+    return found.where("_n IS NOT NULL").select(*P, F.explode(F.array(*rows)).alias("_row")).select(*P, "_row.*")

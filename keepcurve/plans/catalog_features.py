@@ -41,9 +41,9 @@ def with_both() -> str:
 # ---------------------------------------------------------------- role data
 
 def transactions(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
-    """S3: v1 alone for period1, v1 + v2 deduplicated for period2."""
+    """S3: v1 alone for period1, v1 + v2 for period2, deduplicated in both."""
     parts = td.transaction_deliveries(spark, sf_dir)
-    return raw.union_deliveries(parts[:1] if period == "period1" else parts, dedup=(period != "period1"))
+    return raw.union_deliveries(parts[:1] if period == "period1" else parts, dedup=True)
 
 
 def user_logs(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:

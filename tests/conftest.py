@@ -15,13 +15,3 @@ def spark():
     s = local_session("keepcurve-tests", cores="*", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-@pytest.fixture(params=["window", "buckets"])
-def prefix_path(request, monkeypatch):
-    """Run a test through both ordered-prefix strategies: the size-checked
-    single window and the bucketed distributed prefix."""
-    from keepcurve.operators import ordered
-
-    monkeypatch.setattr(ordered, "SMALL_ROWS", ordered.SMALL_ROWS if request.param == "window" else -1)
-    return request.param

@@ -20,7 +20,7 @@ def _labels(spark):
     return spark.createDataFrame(rows, "key long, label int")
 
 
-def test_stratified_sample_exact_counts_and_seeded(spark, prefix_path):
+def test_stratified_sample_exact_counts_and_seeded(spark):
     df = _labels(spark)
     s = co.stratified_sample(df, "key", "label", 0.25, seed=42)
     got = {r["label"]: r["count"] for r in s.groupBy("label").count().collect()}
@@ -52,7 +52,7 @@ def _experiment(seed=0, n=400):
                          "score": np.round(rng.random(n), 2)})
 
 
-def test_qini_curve_and_coefficient(spark, prefix_path):
+def test_qini_curve_and_coefficient(spark):
     pdf = _experiment()
     df = spark.createDataFrame(pdf)
     curve = up.qini_curve(df, "score", "key").toPandas().sort_values("rn")
@@ -109,18 +109,36 @@ def test_psi_empty_side_is_no_data(spark):
     assert r["psi"] is None and r["status"] == "no data"
 
 
-def test_remaining_life_udf_matches_numpy(spark):
-    base = pd.DataFrame({"t": [1, 5, 10, 20], "baseline_survival": [0.99, 0.9, 0.7, 1e-12]})
-    rows = pd.DataFrame({"tenure_days": [0, 3, 25, 10], "partial_hazard": [1.0, 0.5, 2.0, 1.3]})
-    got = lt.expected_remaining_life(spark.createDataFrame(rows), spark.createDataFrame(base)).toPandas()
-    exp = lt.remaining_life_numpy(rows["tenure_days"].to_numpy(float), rows["partial_hazard"].to_numpy(float),
-                                  base["t"].to_numpy(float), base["baseline_survival"].to_numpy())
-    assert np.allclose(got["expected_remaining_days"], exp)
-    assert (got["expected_remaining_days"] >= 0).all()
-    # independent check of one member: trapezoid of S0(u)^theta / S0(t0)^theta on [3, 20]
-    u = np.linspace(3, 20, 100)
-    s = np.array([base["baseline_survival"][np.searchsorted(base["t"], x, side="right") - 1] for x in u]) ** 0.5
-    assert got["expected_remaining_days"][1] == pytest.approx(np.sum((s[1:] + s[:-1]) / 2 * np.diff(u)) / s[0])
+def _life(tenure, theta, times, s0, steps=99):
+    """Plain trapezoid over equal steps from the tenure to the last time."""
+    end = float(times[-1])
+    start = min(float(tenure), end - lt.HORIZON_EPS)
+    at = [start + (end - start) * (k / steps) for k in range(steps)] + [end]
+    alive = [next((s for t, s in zip(times[::-1], s0[::-1]) if t <= u), s0[0]) ** theta for u in at]
+    scaled = [a / max(alive[0], lt.SURVIVAL_FLOOR) for a in alive]
+    return max(sum((scaled[k] + scaled[k + 1]) / 2 * (at[k + 1] - at[k]) for k in range(steps)), 0.0)
+
+
+@pytest.mark.parametrize("last", [1e-12, 0.0])
+def test_remaining_life_is_the_trapezoid(spark, last):
+    times, s0 = [1, 5, 10, 20], [0.99, 0.9, 0.7, last]
+    rows = [(0, 1.0), (3, 0.5), (25, 2.0), (10, 1.3), (5, 0.001), (None, 1.0), (3, None)]
+    base = spark.createDataFrame(list(zip(times, s0)), "t int, baseline_survival double")
+    df = spark.createDataFrame(rows, "tenure_days int, partial_hazard double")
+    got = {(r["tenure_days"], r["partial_hazard"]): r["expected_remaining_days"] for r in lt.expected_remaining_life(df, base).collect()}
+    for tenure, theta in rows:
+        if tenure is None or theta is None:
+            assert got[tenure, theta] is None
+        else:
+            assert got[tenure, theta] == pytest.approx(_life(tenure, theta, times, s0), rel=1e-9, abs=1e-12)
+
+
+def test_remaining_life_without_a_baseline_or_beyond_days(spark):
+    df = spark.createDataFrame([(1, 1.0)], "tenure_days int, partial_hazard double")
+    empty = spark.createDataFrame([], "t int, baseline_survival double")
+    assert lt.expected_remaining_life(df, empty).first()["expected_remaining_days"] is None
+    with pytest.raises(ValueError):
+        lt.expected_remaining_life(df, spark.createDataFrame([(10 ** 6, 0.5)], "t int, baseline_survival double"))
 
 
 def test_daily_revenue_zero_days_and_median_fill(spark):
@@ -143,14 +161,3 @@ def test_select_champion_first_wins_ties(spark):
     m = spark.createDataFrame([("a", 0, "pr_auc", 0.4), ("b", 1, "pr_auc", 0.5), ("c", 2, "pr_auc", 0.5)],
                               "model string, ord int, metric string, value double")
     assert pm.select_champion(m).first()["model"] == "b"
-
-
-def test_remaining_life_distributed_path_matches(spark, prefix_path):
-    base = pd.DataFrame({"t": [1, 5, 10, 20], "baseline_survival": [0.99, 0.9, 0.7, 1e-12]})
-    rows = pd.DataFrame({"tenure_days": [0, 3, 25, 10, 5], "partial_hazard": [1.0, 0.5, 2.0, 1.3, 0.8]})
-    exp = lt.remaining_life_numpy(rows["tenure_days"].to_numpy(float), rows["partial_hazard"].to_numpy(float),
-                                  base["t"].to_numpy(float), base["baseline_survival"].to_numpy())
-    got = lt.expected_remaining_life_distributed(spark.createDataFrame(rows), spark.createDataFrame(base))
-    got = got.toPandas().sort_values(["tenure_days", "partial_hazard"])
-    order = rows.assign(e=exp).sort_values(["tenure_days", "partial_hazard"])
-    assert np.allclose(got["expected_remaining_days"], order["e"], rtol=1e-9, atol=1e-9)

@@ -21,7 +21,7 @@ def _fixture(seed=0, n=300):
                          "s": rng.integers(0, 2, n), "risk": np.round(rng.normal(size=n), 1)})
 
 
-def test_kaplan_meier_and_median(spark, prefix_path):
+def test_kaplan_meier_and_median(spark):
     pdf = _fixture()
     km = sv.kaplan_meier(spark.createDataFrame(pdf), "t", "e", ["s"]).toPandas()
     for s, part in pdf.groupby("s"):
@@ -41,7 +41,7 @@ def test_kaplan_meier_and_median(spark, prefix_path):
         assert med == (int(below["t"].iloc[0]) if len(below) else None)
 
 
-def test_breslow_baseline(spark, prefix_path):
+def test_breslow_baseline(spark):
     pdf = _fixture(1)
     pdf["theta"] = np.exp(0.3 * pdf["x1"])
     got = sv.breslow_baseline(spark.createDataFrame(pdf), "t", "e", "theta").toPandas().sort_values("t")
@@ -66,16 +66,15 @@ def _brute_cindex(t, e, r):
     return conc, tie, comp
 
 
-@pytest.mark.parametrize("bins", [1, 4])
-def test_concordance_exact(spark, prefix_path, bins):
+def test_concordance_exact(spark):
     pdf = _fixture(2, n=250)
-    got = concordance_index(spark.createDataFrame(pdf), "t", "e", "risk", n_bins=bins).first()
+    got = concordance_index(spark.createDataFrame(pdf), "t", "e", "risk").first()
     conc, tie, comp = _brute_cindex(pdf["t"].to_numpy(), pdf["e"].to_numpy(), pdf["risk"].to_numpy())
     assert (got["concordant"], got["tied"], got["comparable"]) == (conc, tie, comp)
     assert got["concordance_index"] == pytest.approx((conc + 0.5 * tie) / comp)
 
 
-def test_spearman(spark, prefix_path):
+def test_spearman(spark):
     pdf = _fixture(3)
     got = sv.spearman(spark.createDataFrame(pdf), "risk", "t").first()["spearman"]
     assert got == pytest.approx(pdf["risk"].rank().corr(pdf["t"].rank()))
@@ -92,12 +91,11 @@ def _efron_objective(beta, t, e, X, pen):
     return ll / len(t) - 0.5 * pen * beta @ beta, ll
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_cox_fit_is_the_penalised_efron_optimum(spark, small, monkeypatch):
-    monkeypatch.setattr(cox, "SMALL_DURATIONS", 10**9 if small else -1)
+def test_cox_fit_is_the_penalised_efron_optimum(spark):
     pdf = _fixture(4)
     cols = ["x1", "x2", "x3"]  # x3 constant: only the penalty pins it
     fit = cox.cox_fit(spark.createDataFrame(pdf), "t", "e", cols, penalizer=0.1)
+    assert fit["converged"]
     b = np.asarray(fit["coef"])
     t, e, X = pdf["t"].to_numpy(), pdf["e"].to_numpy(), pdf[cols].to_numpy()
     f0, ll = _efron_objective(b, t, e, X, 0.1)
