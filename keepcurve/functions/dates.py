@@ -43,8 +43,3 @@ def as_date(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     return parse_yyyymmdd(c)
-
-
-def days_before(date_col: Column, cutoff) -> Column:
-    """Whole days from ``date_col`` up to the cutoff (0 on the cutoff day)."""
-    return F.datediff(cutoff_lit(cutoff), date_col)

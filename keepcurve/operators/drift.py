@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepcurve.operators.ordered import exact_quantiles
-from keepcurve.session import cut_lineage
 
 # Rule-of-thumb thresholds and bin count of the original.
 PSI_MODERATE_THRESHOLD = 0.1
@@ -91,14 +90,10 @@ def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[st
                  n_bins: int = N_BINS) -> DataFrame:
     """R2 + O1: PSI and status for every feature, highest PSI first.
 
-    The two inputs are pruned to the feature columns and materialised once
-    (checkpoint), because the report runs several jobs over them (quantile
-    edges, binning, side counts); the 42x unpivot is recomputed from those
-    narrow files rather than stored.
+    The report runs several jobs over the two inputs (quantiles, binning,
+    side counts); pass materialised frames, best one split by period.
     """
-    ref = cut_lineage(reference.select(*features))
-    cur = cut_lineage(current.select(*features))
-    long = unpivot_features(ref, features, "reference").unionByName(unpivot_features(cur, features, "current"))
+    long = unpivot_features(reference, features, "reference").unionByName(unpivot_features(current, features, "current"))
     p = psi_by_feature(long, n_bins, features)
     return (p.select("feature", "psi", status(F.col("psi")).alias("status"))
              .orderBy(F.col("psi").desc_nulls_last(), F.col("feature")))

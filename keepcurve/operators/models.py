@@ -6,8 +6,11 @@
   losses (``regParam = 1 / sum(weights)`` on Spark's averaged loss).
 * Boosted trees: Spark's GBT rejects missing values, so every numeric
   feature gets a missing indicator and a sentinel below its minimum; trees
-  can then isolate missing rows.  Early stopping uses a validation
-  indicator column (Spark stops on validation loss, not on AUC-PR).
+  can then isolate missing rows.  Weights, sentinels and trees see training
+  rows only.  The number of trees is where the validation log loss was best
+  before it failed to improve for ``PATIENCE`` trees (log loss, which Spark
+  reports per tree, stands in for the original's AUC-PR).
+* T-learner: the training rows' exact medians fill missing values.
 * Isotonic calibration fitted on validation scores.
 * Scores are the positive-class probability (C4), never the class label.
 """
@@ -26,12 +29,14 @@ from pyspark.sql import functions as F
 
 from keepcurve.operators import prep
 from keepcurve.operators.survival import collect_stats
+from keepcurve.session import cut_lineage
 
 RANDOM_SEED = 42
 # Fixed hyper-parameters of the original models.
 GBT_PARAMS = dict(maxIter=300, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8")
 UPLIFT_GBT_PARAMS = dict(maxIter=200, maxDepth=4, stepSize=0.05)
 LOGREG_MAX_ITER = 1000
+PATIENCE = 20
 
 
 def positive_probability(pred: DataFrame, out_col: str = "score", prob_col: str = "probability") -> DataFrame:
@@ -57,15 +62,17 @@ class LogRegModel:
         return positive_probability(pred).select(*keep, "score")
 
 
+def collect_modes(modes: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Mode per column as numbers (0 where a column is all null)."""
+    found = {r["feature"]: r["mode"] for r in modes.collect()}
+    return {c: float(found.get(c) or 0.0) for c in cols}
+
+
 def fit_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
                max_iter: int = LOGREG_MAX_ITER) -> LogRegModel:
     """C1 + N1 + N2 + N3."""
     stats = collect_stats(prep.standardize_fit(train, numeric).withColumnRenamed("feature", "covariate"))
-    modes = {}
-    for c in categorical:
-        m = (train.where(F.col(c).isNotNull()).groupBy(c).count()
-                  .agg(F.max_by(c, F.struct("count", -F.col(c).cast("double"))).alias("m")).first())
-        modes[c] = float(m["m"]) if m and m["m"] is not None else 0.0
+    modes = collect_modes(prep.mode_impute_fit(train, categorical), categorical)
     w = prep.class_weights(train, label).select(F.col("class").alias("_cls"), F.col("balanced_weight").alias("w"))
     tr = train.join(F.broadcast(w), F.col(label) == F.col("_cls"))  # two-row table
     model_stub = LogRegModel(stats, modes, None, numeric, categorical)
@@ -88,6 +95,10 @@ class TreeModel:
         self.fills, self.model = fills, model
         self.numeric, self.categorical = list(numeric), list(categorical)
 
+    @property
+    def n_trees(self) -> int:
+        return self.model.getNumTrees
+
     def features(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         return tree_features(df, self.fills, self.numeric, self.categorical, keep)
 
@@ -116,21 +127,41 @@ def _array_to_vector(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("_f")).drop("_f")
 
 
+def best_length(losses: Sequence[float], patience: int = PATIENCE) -> int:
+    """Number of trees at the lowest loss seen before ``patience`` trees in a
+    row did not improve on it."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
-            valid_col: str | None = None, weight_col: str | None = None, params: dict | None = None,
-            seed: int = RANDOM_SEED) -> TreeModel:
-    """Boosted trees with missing indicators; optional early stopping."""
+            valid: DataFrame | None = None, weight_col: str | None = None, params: dict | None = None,
+            seed: int = RANDOM_SEED, patience: int = PATIENCE) -> TreeModel:
+    """Boosted trees with missing indicators.
+
+    With ``valid`` rows the model stops early: all trees are grown on
+    ``train``, the loss after each is read on ``valid``, and the model is
+    grown again (same seed, so the same trees) to the best length."""
     cols = list(numeric) + list(categorical)
     fills = missing_fills(train, cols)
-    keep = [label] + ([valid_col] if valid_col else []) + ([weight_col] if weight_col else [])
-    x = tree_features(train, fills, numeric, categorical, keep)
-    kw = dict(GBT_PARAMS, **(params or {}))
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **kw)
-    if valid_col:
-        gbt = gbt.setValidationIndicatorCol(valid_col)
+    target = F.col(label).cast("double").alias(label)
+    x = cut_lineage(tree_features(train, fills, numeric, categorical, [target] + ([weight_col] if weight_col else [])))
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **dict(GBT_PARAMS, **(params or {})))
     if weight_col:
         gbt = gbt.setWeightCol(weight_col)
-    return TreeModel(fills, gbt.fit(x), numeric, categorical)
+    model = gbt.fit(x)
+    if valid is not None:
+        unweighted = [F.lit(1.0).alias(weight_col)] if weight_col else []
+        losses = model.evaluateEachIteration(tree_features(valid, fills, numeric, categorical, [target, *unweighted]))
+        n = best_length(losses, patience)
+        if n < len(losses):
+            model = gbt.setMaxIter(n).fit(x)
+    return TreeModel(fills, model, numeric, categorical)
 
 
 def scale_pos_weight_col(df: DataFrame, label: str, out_col: str = "w") -> DataFrame:
@@ -155,13 +186,24 @@ def calibrate(model, scored: DataFrame, score: str = "score") -> DataFrame:
 
 # ------------------------------------------------------------------ uplift
 
+def median_fills(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Exact median per column (0 where a column is all null) -- p numbers."""
+    found = {r["feature"]: r["median"] for r in prep.median_impute_fit(df, cols).collect()}
+    return {c: float(found[c]) if found.get(c) is not None else 0.0 for c in cols}
+
+
+def filled_features(df: DataFrame, fills: dict, features: Sequence[str], keep: Sequence) -> DataFrame:
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in features]
+    return df.select(*keep, F.array(*values).alias("_f")).transform(_array_to_vector)
+
+
 class TLearner:
     def __init__(self, fills, m1, m0, features):
         self.fills, self.m1, self.m0, self.features = fills, m1, m0, list(features)
 
     def effect(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """mu1(x) - mu0(x)."""
-        x = tree_features(df, self.fills, self.features, [], keep)
+        x = filled_features(df, self.fills, self.features, keep)
         p1 = self.m1.transform(x).withColumnRenamed("prediction", "_p1")
         p0 = self.m0.transform(p1).withColumnRenamed("prediction", "_p0")
         return p0.select(*keep, (F.col("_p1") - F.col("_p0")).alias("predicted_uplift"))
@@ -169,12 +211,12 @@ class TLearner:
 
 def fit_t_learner(train: DataFrame, features: Sequence[str], treatment: str, outcome: str,
                   params: dict | None = None, seed: int = RANDOM_SEED) -> TLearner:
-    """One GBT regressor per arm on the same feature construction."""
-    fills = missing_fills(train, features)
+    """X1 + X2: one GBT regressor per arm on median-filled features; the fills
+    come from the whole training side."""
+    fills = median_fills(train, features)
     kw = dict(UPLIFT_GBT_PARAMS, **(params or {}))
     models = []
     for arm in (1, 0):
-        x = tree_features(train.where(F.col(treatment) == arm), fills, features, [],
-                          [F.col(outcome).cast("double").alias("y")])
+        x = filled_features(train.where(F.col(treatment) == arm), fills, features, [F.col(outcome).cast("double").alias("y")])
         models.append(GBTRegressor(featuresCol="features", labelCol="y", seed=seed, **kw).fit(x))
     return TLearner(fills, models[0], models[1], features)

@@ -1,4 +1,4 @@
-"""Feature preparation for models.
+"""Feature preparation for models.
 
 Fit steps are one aggregate each (exact medians through the distributed
 quantile helper, then means/std); transforms are projections.  Spark ML
@@ -62,15 +62,16 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
                       ((F.col("n") - F.col("n_pos")) / F.greatest(F.col("n_pos"), F.lit(1))).alias("scale_pos_weight"))
 
 
-def with_weight(df: DataFrame, label: str = "label", out_col: str = "weight") -> DataFrame:
-    """Attach the balanced class weight as a column (join with a 2-row table)."""
-    w = class_weights(df, label).select(F.col("class").alias("_cls"), F.col("balanced_weight").alias(out_col))
-    return df.join(F.broadcast(w), F.col(label) == F.col("_cls")).drop("_cls")
+def mode_impute_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """N2 fit: most frequent value per column; the smallest of equally
+    frequent ones."""
+    counts = _long(df, cols).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("order"), "value")).alias("best")
+    return counts.groupBy("feature").agg(best).select("feature", F.col("best.value").alias("mode"))
 
 
-def model_matrix(df: DataFrame, numeric: Sequence[str], label: str | None = None) -> DataFrame:
-    """Numeric features as doubles (booleans -> 0/1), plus the label."""
-    cols = [F.col(c).cast("double").alias(c) for c in numeric]
-    if label:
-        cols.append(F.col(label).cast("int").alias(label))
-    return df.select(*cols)
+def one_hot_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows per category after the mode fill (the column sums of the
+    one-hot matrix)."""
+    filled = _long(df, cols).join(mode_impute_fit(df, cols), "feature").withColumn("category", F.coalesce("value", "mode"))
+    return filled.groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))

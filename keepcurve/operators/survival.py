@@ -170,7 +170,3 @@ def spearman(df: DataFrame, a: str, b: str, partition_cols: Sequence[str] = ())
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     r = average_ranks(average_ranks(d, a, "_ra", None, P), b, "_rb", None, P)
     return r.groupBy(*P).agg(F.corr("_ra", "_rb").alias("spearman"))
-
-
-def normal_sf(x: float) -> float:
-    return 0.5 * math.erfc(x / math.sqrt(2.0))

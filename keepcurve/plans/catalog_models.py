@@ -14,12 +14,14 @@ from keepcurve.operators import cohort as co
 from keepcurve.operators import cox
 from keepcurve.operators import metrics as me
 from keepcurve.operators import models as mo
+from keepcurve.operators import prep
 from keepcurve.operators import promotion as pm
 from keepcurve.operators import survival as sv
 from keepcurve.operators import uplift as up
 from keepcurve.operators.concordance import concordance_index
 from keepcurve.operators.ordered import row_prefix
-from keepcurve.plans.catalog_features import snapshot
+from keepcurve.plans.catalog_eval import H
+from keepcurve.plans.catalog_features import snapshot, with_both
 from keepcurve.plans.catalog_survival import churn_score, surv
 from keepcurve.plans.catalog_uplift import CATEGORICAL_FEATURES, HOLDOUT, NUMERIC_FEATURES, SEED
 from keepcurve.plans.registry import query
@@ -44,8 +46,15 @@ def _metrics(name, scored_oot, thr):
 
 
 def _gbt(p1):
-    tr = mo.scale_pos_weight_col(p1, "label", "w").withColumn("is_valid", F.col("split") == "valid")
-    return mo.fit_gbt(tr, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label", valid_col="is_valid", weight_col="w")
+    """Weights, sentinels and trees from the training rows; the validation rows choose the length."""
+    train = mo.scale_pos_weight_col(p1.where(F.col("split") == "train"), "label", "w")
+    valid = p1.where(F.col("split") == "valid")
+    return mo.fit_gbt(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label", valid=valid, weight_col="w")
+
+
+def _trees(spark, model, n):
+    """The number of trees as a row of the metric table."""
+    return spark.range(1).select(F.lit(model).alias("model"), F.lit("n_trees").alias("metric"), F.lit(float(n)).alias("value"))
 
 
 @query("churn_model_metrics")
@@ -58,11 +67,10 @@ def q_churn_model_metrics(spark, sf_dir):
     out = _metrics("logreg", lr.score(p2, KEEP), _threshold(lr.score(valid, KEEP)))
     g = _gbt(p1)
     gv = cut_lineage(g.score(valid, KEEP))
-    out = out.unionByName(_metrics("gbt", g.score(p2, KEEP), _threshold(gv)))
+    oot = cut_lineage(g.score(p2, KEEP))
+    out = out.unionByName(_metrics("gbt", oot, _threshold(gv))).unionByName(_trees(spark, "gbt", g.n_trees))
     iso = mo.fit_isotonic(gv)
-    out = out.unionByName(_metrics("gbt_isotonic", mo.calibrate(iso, g.score(p2, KEEP)),
-                                   _threshold(mo.calibrate(iso, gv))))
-    return out
+    return out.unionByName(_metrics("gbt_isotonic", mo.calibrate(iso, oot), _threshold(mo.calibrate(iso, gv))))
 
 
 @query("oot_vs_naive_split")
@@ -70,7 +78,8 @@ def q_oot_vs_naive_split(spark, sf_dir):
     """E10 + M4: the same tree model on a pooled random split (train cut to
     the period1 train size) vs the genuine out-of-time split."""
     p1, p2 = _periods(spark, sf_dir)
-    oot = _gbt(p1).score(p2, KEEP)
+    stopped = _gbt(p1)
+    oot = cut_lineage(stopped.score(p2, KEEP))
     pooled = co.pooled([p1.drop("split"), p2])
     pooled = co.stratified_split(pooled.withColumn("_rk", F.concat_ws("|", F.col("msno").cast("string"), "period")),
                                  "_rk", "label", 0.2, SEED, names=("train", "test"))
@@ -81,10 +90,11 @@ def q_oot_vs_naive_split(spark, sf_dir):
           .where(F.col("_trn") <= F.lit(int(k))).drop("_h2", "_trn", "_tn"))
     tr = mo.scale_pos_weight_col(tr, "label", "w")
     g = mo.fit_gbt(tr, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label", weight_col="w")
-    naive = g.score(pooled.where(F.col("split") == "test"), KEEP)
-    return (me.roc_auc(oot, "label", "score").select(F.lit("oot_time_split").alias("evaluation"), "roc_auc")
-            .unionByName(me.roc_auc(naive, "label", "score").select(F.lit("naive_random_split").alias("evaluation"),
-                                                                     "roc_auc")))
+    naive = cut_lineage(g.score(pooled.where(F.col("split") == "test"), KEEP))
+    sides = (("oot_time_split", oot, stopped), ("naive_random_split", naive, g))
+    parts = [me.roc_auc(df, "label", "score").select(F.lit(name).alias("evaluation"), "roc_auc", F.lit(m.n_trees).alias("n_trees"))
+             for name, df, m in sides]
+    return parts[0].unionByName(parts[1])
 
 
 @query("uplift_t_learner")
@@ -95,7 +105,7 @@ def q_uplift_t_learner(spark, sf_dir):
     e = co.ab_assignment(s, "msno", SEED).withColumn("observed_retained", 1 - F.col("is_churn"))
     e = cut_lineage(co.stratified_split(e, "msno", "treatment", HOLDOUT, SEED, names=("train", "test")))
     train, test = e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
-    tl = mo.fit_t_learner(train, NUMERIC_FEATURES, "treatment", "observed_retained")
+    tl = mo.fit_t_learner(train, NUMERIC_FEATURES + CATEGORICAL_FEATURES, "treatment", "observed_retained")
     scored = tl.effect(test, ["msno", "treatment", "observed_retained"])
     model = up.qini_coefficient(up.qini_curve(scored, "predicted_uplift", "msno"))
     rnd = up.qini_coefficient(up.qini_curve(up.random_score(test, "msno", 0), "random_score", "msno"))
@@ -103,8 +113,8 @@ def q_uplift_t_learner(spark, sf_dir):
             .unionByName(rnd.select(F.lit("random").alias("ranking"), "qini_coefficient")))
 
 
-def _cox_input(spark, sf_dir):
-    s = surv(spark, sf_dir)
+def _cox_input(spark, sf_dir, extra=()):
+    s = surv(spark, sf_dir, dict.fromkeys(["msno", "period", "tenure_days", "is_churn", *sv.COX_COVARIATES, *extra]))
     stats = sv.collect_stats(sv.cox_prep_fit(s))
     return s, cut_lineage(sv.cox_prep_transform(s, stats, keep=["msno", "period", "tenure_days", "is_churn"]))
 
@@ -117,11 +127,22 @@ def q_cox_summary(spark, sf_dir):
     return cox.cox_summary(spark, fit)
 
 
+@query("cox_gradient_zero", "SELECT covariate, 0.0 AS gradient, true AS converged FROM (VALUES "
+       + ", ".join(f"('{c}')" for c in sv.COX_COVARIATES) + ") t(covariate)")
+def q_cox_gradient_zero(spark, sf_dir):
+    """K4: at the fitted coefficients the penalised objective's gradient is 0."""
+    _, x = _cox_input(spark, sf_dir)
+    fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
+    rows = [(c, float(g), bool(fit["converged"])) for c, g in zip(fit["covariates"], fit["gradient"])]
+    out = spark.createDataFrame(rows, "covariate string, gradient double, converged boolean")
+    return out.withColumn("gradient", F.round("gradient", 5) + F.lit(0.0))
+
+
 @query("survival_vs_classifier")
 def q_survival_vs_classifier(spark, sf_dir):
     """Fitted Cox risk vs an in-sample tree classifier on the pooled
     frame: Spearman of the two scores, Cox concordance, classifier ROC-AUC."""
-    s, x = _cox_input(spark, sf_dir)
+    s, x = _cox_input(spark, sf_dir, NUMERIC_FEATURES + CATEGORICAL_FEATURES)
     fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
     means = x.agg(*[F.avg(c).alias(c) for c in sv.COX_COVARIATES]).first().asDict()
     risk = sv.partial_hazard(x, dict(zip(fit["covariates"], fit["coef"])), means, "cox_risk")
@@ -145,9 +166,45 @@ def q_retrain_gate(spark, sf_dir):
     p1, p2 = _periods(spark, sf_dir)
     g = _gbt(p1)
     thr = _threshold(g.score(p1.where(F.col("split") == "valid"), KEEP))
-    cand = me.metric_table(g.score(p2, KEEP), thr, "label", "score").select(
+    cand = me.metric_table(cut_lineage(g.score(p2, KEEP)), thr, "label", "score").select(
         F.lit("churn-classifier").alias("model"), F.lit(2).alias("version"), "metric", "value")
     champ = me.metric_table(p2.withColumn("score", churn_score()), 0.5, "label", "score").select(
         F.lit("churn-classifier").alias("model"), F.lit(1).alias("version"), F.lit("champion").alias("alias"),
         "metric", "value")
     return pm.promotion_gate(cand, champ)
+
+
+FILL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
+TRAIN_SIDE_SQL = with_both() + f""",
+ex AS (SELECT *, CAST({H('msno')} % 2 AS INTEGER) AS treatment, {H('msno')} AS h FROM snap2),
+tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY treatment ORDER BY h, msno) AS rn,
+                             count(*) OVER (PARTITION BY treatment) AS n FROM ex) WHERE rn > ceil(n * {HOLDOUT}))"""
+
+
+@query("uplift_median_fill", TRAIN_SIDE_SQL + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, coalesce(quantile_cont(CAST({c} AS DOUBLE), 0.5), 0.0) AS median FROM tr" for c in FILL_FEATURES))
+def q_uplift_median_fill(spark, sf_dir):
+    """The fills of all 45 features, learned on the experiment's training side."""
+    e = co.ab_assignment(snapshot(spark, sf_dir, "period2"), "msno", SEED)
+    e = co.stratified_split(e, "msno", "treatment", HOLDOUT, SEED, names=("train", "test"))
+    train = cut_lineage(e.where(F.col("split") == "train").select(*FILL_FEATURES))
+    return spark.createDataFrame(list(mo.median_fills(train, FILL_FEATURES).items()), "feature string, median double")
+
+
+MODE_SQL = with_both() + ",\nlg AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM snap1" for c in CATEGORICAL_FEATURES) + """),
+ct AS (SELECT feature, v, count(*) AS n FROM lg WHERE v IS NOT NULL GROUP BY feature, v),
+md AS (SELECT feature, v AS mode FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v) AS k FROM ct) WHERE k = 1)"""
+
+
+@query("mode_impute", MODE_SQL + "\nSELECT feature, mode FROM md")
+def q_mode_impute(spark, sf_dir):
+    """N2 fit: mode of every categorical feature, period1."""
+    return prep.mode_impute_fit(snapshot(spark, sf_dir, "period1"), CATEGORICAL_FEATURES)
+
+
+@query("one_hot_counts", MODE_SQL + """
+SELECT feature, coalesce(v, mode) AS category, count(*) AS n FROM lg JOIN md USING (feature) GROUP BY ALL""")
+def q_one_hot_counts(spark, sf_dir):
+    """Column sums of the one-hot matrix after the mode fill, period1."""
+    return prep.one_hot_counts(cut_lineage(snapshot(spark, sf_dir, "period1").select(*CATEGORICAL_FEATURES)), CATEGORICAL_FEATURES)

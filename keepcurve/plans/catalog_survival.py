@@ -32,12 +32,14 @@ DEMO_COEFS = {
 RECENCY_HALF_LIFE = 180.0
 
 
-def surv(spark, sf_dir):
-    """Pooled survival frame, materialised once per query (stage hand-off,
-    like the snapshot files of the original): later stages run several
-    jobs over it (quantile edges, medians, baseline) without recomputing
-    the snapshot."""
-    return cut_lineage(sv.survival_frame(snapshots(spark, sf_dir)))
+def surv(spark, sf_dir, cols):
+    """The columns ``cols`` of the pooled survival frame, materialised once per
+    query (stage hand-off, like the snapshot files of the original): later
+    stages run several jobs over it.  Sources that none of the columns needs
+    are not read."""
+    cols = list(cols)
+    frame = sv.survival_frame(snapshots(spark, sf_dir).select(*dict.fromkeys([*cols, "tenure_days"])))
+    return cut_lineage(frame.select(*cols))
 
 
 def churn_score(col: str = "days_since_last_transaction"):
@@ -50,6 +52,9 @@ surv AS (SELECT * FROM (SELECT * FROM snap1 UNION ALL SELECT * FROM snap2)
          WHERE tenure_days IS NOT NULL AND tenure_days > 0)"""
 
 
+KM_COLS = ["tenure_days", "is_churn"]
+
+
 def km_sql(strata: str | None = None) -> str:
     s = f"{strata}, " if strata else ""
     part = f"PARTITION BY {strata} " if strata else ""
@@ -78,25 +83,25 @@ FROM kk"""
 @query("survival_frame", f"{SURV_SQL} SELECT msno, period, tenure_days, is_churn FROM surv")
 def q_survival_frame(spark, sf_dir):
     """P14 + U3: pooled periods, positive tenure only."""
-    return surv(spark, sf_dir).select("msno", "period", "tenure_days", "is_churn")
+    return surv(spark, sf_dir, ["msno", "period", "tenure_days", "is_churn"])
 
 
 @query("km_curve", SURV_SQL + km_sql() + "\n" + KM_SELECT.format(s="", z=sv.Z_95))
 def q_km_curve(spark, sf_dir):
     """K1: Kaplan-Meier curve with Greenwood log(-log) band."""
-    return sv.kaplan_meier(surv(spark, sf_dir), "tenure_days", "is_churn")
+    return sv.kaplan_meier(surv(spark, sf_dir, KM_COLS), "tenure_days", "is_churn")
 
 
 @query("km_by_stratum", SURV_SQL + km_sql("is_auto_renew") + "\n" + KM_SELECT.format(s="is_auto_renew, ", z=sv.Z_95))
 def q_km_by_stratum(spark, sf_dir):
     """K2 + P15: one curve per auto-renew stratum (empty strata absent)."""
-    return sv.kaplan_meier(surv(spark, sf_dir), "tenure_days", "is_churn", ["is_auto_renew"])
+    return sv.kaplan_meier(surv(spark, sf_dir, [*KM_COLS, "is_auto_renew"]), "tenure_days", "is_churn", ["is_auto_renew"])
 
 
 @query("km_median", SURV_SQL + km_sql() + "\nSELECT min(t) FILTER (WHERE survival <= 0.5) AS median_survival FROM k")
 def q_km_median(spark, sf_dir):
     """K3: median survival time (null when never reached)."""
-    return sv.median_survival(sv.kaplan_meier(surv(spark, sf_dir), "tenure_days", "is_churn"))
+    return sv.median_survival(sv.kaplan_meier(surv(spark, sf_dir, KM_COLS), "tenure_days", "is_churn"))
 
 
 # ---------------------------------------------------------------- Cox prep
@@ -139,11 +144,14 @@ def sv_coefs():
 PH_SQL = SURV_SQL + cox_prep_sql() + theta_sql()
 
 
+THETA_KEEP = ["msno", "period", "tenure_days", "is_churn", "last_actual_amount_paid", "last_payment_plan_days"]
+
+
 def demo_theta(spark, sf_dir):
-    s = surv(spark, sf_dir).withColumn("dslt_raw", F.col("days_since_last_transaction"))
+    s = surv(spark, sf_dir, dict.fromkeys([*THETA_KEEP, *sv.COX_COVARIATES]))
+    s = s.withColumn("dslt_raw", F.col("days_since_last_transaction"))
     stats = sv.collect_stats(sv.cox_prep_fit(s))  # 9 rows
-    x = sv.cox_prep_transform(s, stats, keep=["msno", "period", "tenure_days", "is_churn", "dslt_raw",
-                                              "last_actual_amount_paid", "last_payment_plan_days"])
+    x = sv.cox_prep_transform(s, stats, keep=[*THETA_KEEP, "dslt_raw"])
     return cut_lineage(sv.partial_hazard(x, DEMO_COEFS, out_col="theta"))
 
 
@@ -151,7 +159,7 @@ def demo_theta(spark, sf_dir):
        "\nSELECT covariate, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std FROM cp")
 def q_cox_preprocess(spark, sf_dir):
     """N4 fit: median fill, momentum clip at 5, z-score stats (sample std)."""
-    return sv.cox_prep_fit(surv(spark, sf_dir))
+    return sv.cox_prep_fit(surv(spark, sf_dir, sv.COX_COVARIATES))
 
 
 @query("partial_hazard", PH_SQL + "\nSELECT msno, period, round(theta, 6) AS partial_hazard FROM ph")
@@ -168,9 +176,9 @@ bc AS (SELECT *, sum(baseline_hazard) OVER (ORDER BY t ROWS UNBOUNDED PRECEDING)
 
 
 @query("breslow_baseline", BRESLOW_SQL + """
-SELECT t, round(CAST(events AS DOUBLE), 6) AS events, round(risk_sum, 6) AS risk_sum,
-       round(baseline_hazard, 6) AS baseline_hazard, round(cum_hazard, 6) AS cum_hazard,
-       round(exp(-cum_hazard), 6) AS baseline_survival FROM bc""")
+SELECT t, CAST(events AS DOUBLE) AS events, round(risk_sum, 10) AS risk_sum,
+       round(baseline_hazard, 10) AS baseline_hazard, round(cum_hazard, 10) AS cum_hazard,
+       round(exp(-cum_hazard), 10) AS baseline_survival FROM bc""", decimals=10)
 def q_breslow_baseline(spark, sf_dir):
     """K7: Breslow baseline hazard / survival over the pooled frame."""
     return sv.breslow_baseline(demo_theta(spark, sf_dir), "tenure_days", "is_churn", "theta")
@@ -235,7 +243,8 @@ def q_expected_remaining_life(spark, sf_dir):
 @query("daily_revenue", LIFE_SQL + "\nSELECT msno, period, round(daily_revenue, 6) AS daily_revenue FROM rev")
 def q_daily_revenue(spark, sf_dir):
     """L2: revenue per plan day, median-filled."""
-    return lt.daily_revenue(surv(spark, sf_dir)).select("msno", "period", "daily_revenue")
+    cols = ["msno", "period", "last_actual_amount_paid", "last_payment_plan_days"]
+    return lt.daily_revenue(surv(spark, sf_dir, cols)).select("msno", "period", "daily_revenue")
 
 
 @query("ltv_table", LIFE_SQL + """

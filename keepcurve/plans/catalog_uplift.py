@@ -9,6 +9,7 @@ recency churn score ``s``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from keepcurve.functions.exprs import hash_fraction
@@ -18,6 +19,7 @@ from keepcurve.operators import metrics as me
 from keepcurve.operators import prep as pr
 from keepcurve.operators import promotion as pm
 from keepcurve.operators import uplift as up
+from keepcurve.operators.ordered import row_prefix
 from keepcurve.plans.catalog_eval import H
 from keepcurve.plans.catalog_features import snapshot, snapshots, with_both
 from keepcurve.plans.catalog_survival import LIFE_SQL, RECENCY_HALF_LIFE, churn_score, ltv_table
@@ -127,10 +129,13 @@ def targets(spark, sf_dir):
 @query("targeting_list", TARGET_SQL + """
 SELECT msno, period, round(predicted_uplift, 6) AS predicted_uplift, round(ltv, 6) AS ltv,
        round(churn_probability, 6) AS churn_probability, retention_priority_segment,
-       round(expected_value_of_offer, 6) AS expected_value_of_offer FROM tg""")
+       round(expected_value_of_offer, 6) AS expected_value_of_offer,
+       row_number() OVER (ORDER BY expected_value_of_offer DESC, msno, period) AS place FROM tg""")
 def q_targeting_list(spark, sf_dir):
-    """X7 + J6 + O2: uplift x LTV on (member, period), highest first."""
-    return targets(spark, sf_dir)
+    """X7 + J6 + O2: uplift x LTV on (member, period), highest first, with the
+    place in that order."""
+    t = targets(spark, sf_dir).withColumn("_tie", F.struct("msno", "period"))
+    return row_prefix(t, "expected_value_of_offer", "_tie", descending=True, rn_col="place").drop("_tie", "n_total")
 
 
 @query("targeting_top10", TARGET_SQL + """
@@ -201,10 +206,13 @@ def q_psi(spark, sf_dir):
     return _drift(spark, sf_dir, ["days_since_last_transaction"]).select("feature", "psi")
 
 
-@query("drift_report", _drift_sql(NUMERIC_FEATURES) + "\nSELECT feature, round(psi, 6) AS psi, status FROM rs")
+@query("drift_report", _drift_sql(NUMERIC_FEATURES) + """
+SELECT feature, round(psi, 6) AS psi, status, CAST(row_number() OVER (ORDER BY psi DESC NULLS LAST, feature) AS INTEGER) AS place FROM rs""")
 def q_drift_report(spark, sf_dir):
-    """R2 + O1: PSI and status for all 42 numeric features in one job."""
-    return _drift(spark, sf_dir, NUMERIC_FEATURES)
+    """R2 + O1: PSI and status for all 42 numeric features in one job, with
+    the place in the report's order (42 rows)."""
+    order = Window.orderBy(F.col("psi").desc_nulls_last(), "feature")
+    return _drift(spark, sf_dir, NUMERIC_FEATURES).withColumn("place", F.row_number().over(order))
 
 
 @query("drift_flagged", _drift_sql(NUMERIC_FEATURES) +

@@ -48,10 +48,6 @@ def tx_window_sql(src: str = "tx_asof", rounded: bool = False) -> str:
 FROM {src} GROUP BY msno"""
 
 
-def tx_features_sql(latest: str = "tx_latest", win: str = "tx_win") -> str:
-    return f"SELECT * FROM {latest} JOIN {win} USING (msno)"
-
-
 def log_daily_sql(cutoff: str, src: str = "logs_p", cohort: str | None = "labels_p") -> str:
     where = f"log_date <= DATE '{cutoff}'"
     if cohort:

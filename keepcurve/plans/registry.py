@@ -24,12 +24,13 @@ def round_doubles(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     return df.select(*cols)
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir) -> DataFrame`` (doubles rounded)."""
+def query(name: str, sql: str | None = None, decimals: int = DECIMALS):
+    """Register ``fn(spark, sf_dir) -> DataFrame``.  The operators' doubles are
+    rounded here, and in the SQL, only so that two engines can be compared."""
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(spark, sf_dir))
+            return round_doubles(fn(spark, sf_dir), decimals)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -27,6 +27,7 @@ def local_session(app: str = "keepcurve", cores: int | str = "*", shuffle_partit
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**CORE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
@@ -45,8 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder must be on shared storage and is configured by
-    the cluster; we only pick our own (a fresh temp folder) when nothing is
-    set, as in local tests.
+    the cluster; nothing set there is an error.  Only a local session, as in
+    tests, gets a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="keepcurve-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

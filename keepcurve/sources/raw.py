@@ -1,8 +1,7 @@
 """Raw role-table readers.
 
-CSV is read once with a declared schema; at scale the first step should be
-:func:`land_parquet` (or the streaming landing job) so that every later
-stage gets column pruning and predicate pushdown.
+CSV is read once with a declared schema; at scale write it as Parquet first,
+so that every later stage gets column pruning and predicate pushdown.
 """
 
 from __future__ import annotations
@@ -55,11 +54,3 @@ def load_transactions(spark: SparkSession, paths: Sequence[str], dedup: bool = T
 def load_user_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Activity logs; deliveries cover disjoint dates, so no dedup."""
     return union_deliveries([_read_csv(spark, p, schemas.USER_LOGS) for p in paths], dedup=False)
-
-
-def land_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write a raw table once as Parquet (columnar, pushdown-capable)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

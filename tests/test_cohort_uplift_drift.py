@@ -161,3 +161,11 @@ def test_select_champion_first_wins_ties(spark):
     m = spark.createDataFrame([("a", 0, "pr_auc", 0.4), ("b", 1, "pr_auc", 0.5), ("c", 2, "pr_auc", 0.5)],
                               "model string, ord int, metric string, value double")
     assert pm.select_champion(m).first()["model"] == "b"
+
+
+def test_bernoulli_sample_and_duplicate_keys(spark):
+    df = spark.range(2000).selectExpr("id AS msno", "CAST(id % 2 AS INT) AS is_churn")
+    got = {r["is_churn"]: r["count"] for r in co.sample_bernoulli(df, "is_churn", {0: 0.5, 1: 0.0}).groupBy("is_churn").count().collect()}
+    assert 400 < got[0] < 600 and 1 not in got
+    twice = df.where("msno < 3").unionByName(df.where("msno = 1"))
+    assert [r["msno"] for r in co.duplicate_keys(twice, "msno").collect()] == [1]

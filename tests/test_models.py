@@ -30,8 +30,9 @@ def test_logreg_scores_are_probabilities(spark):
 
 
 def test_gbt_with_missing_values_and_isotonic(spark):
-    df = mo.scale_pos_weight_col(_train(spark), "label", "w").withColumn("is_valid", F.col("split") == "valid")
-    g = mo.fit_gbt(df, ["x", "z"], ["c"], "label", valid_col="is_valid", weight_col="w", params={"maxIter": 5})
+    df = _train(spark)
+    train = mo.scale_pos_weight_col(df.where("split = 'train'"), "label", "w")
+    g = mo.fit_gbt(train, ["x", "z"], ["c"], "label", valid=df.where("split = 'valid'"), weight_col="w", params={"maxIter": 5})
     s = g.score(df, ["msno", "label"])
     assert s.where(F.col("score").isNull() | (F.col("score") < 0) | (F.col("score") > 1)).count() == 0
     iso = mo.fit_isotonic(s)
@@ -46,3 +47,31 @@ def test_t_learner_effect(spark):
     tl = mo.fit_t_learner(df, ["x", "z"], "treatment", "label", params={"maxIter": 3})
     e = tl.effect(df, ["msno"])
     assert e.count() == 400 and e.where(F.col("predicted_uplift").isNull()).count() == 0
+
+
+def test_best_length_has_patience():
+    assert mo.best_length([0.9, 0.8, 0.81, 0.82, 0.7, 0.75, 0.76, 0.77, 0.1], patience=3) == 5
+    assert mo.best_length([0.9, 0.8, 0.7], patience=3) == 3 and mo.best_length([0.5], patience=1) == 1
+
+
+def test_early_stopping_keeps_more_than_one_tree_and_the_best_length(spark):
+    df = _train(spark, n=1200, seed=3)
+    train, valid = df.where("split = 'train'"), df.where("split = 'valid'")
+    params = {"maxIter": 40, "stepSize": 0.3}
+    whole = mo.fit_gbt(train, ["x", "z"], ["c"], "label", params=params)
+    cols = ["x", "z", "c"]
+    target = F.col("label").cast("double").alias("label")
+    losses = whole.model.evaluateEachIteration(mo.tree_features(valid, whole.fills, cols[:2], cols[2:], [target]))
+    stopped = mo.fit_gbt(train, ["x", "z"], ["c"], "label", valid=valid, params=params, patience=5)
+    assert whole.n_trees == 40 and stopped.n_trees == mo.best_length(losses, 5) > 1
+    a = {r["msno"]: r["score"] for r in stopped.score(valid, ["msno"]).collect()}
+    y = {r["msno"]: r["label"] for r in valid.collect()}
+    loss = np.mean([2 * np.log1p(np.exp(-(2 * y[k] - 1) * np.log(p / (1 - p)))) for k, p in a.items()])
+    assert loss < losses[0]
+
+
+def test_t_learner_fills_with_training_medians(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (9.0, None), (None, None)], "a double, b double")
+    assert mo.median_fills(df, ["a", "b"]) == {"a": 2.0, "b": 0.0}
+    x = mo.filled_features(df, {"a": 2.0, "b": 0.0}, ["a", "b"], []).collect()
+    assert sorted(tuple(r["features"]) for r in x) == [(1.0, 0.0), (2.0, 0.0), (2.0, 0.0), (9.0, 0.0)]
