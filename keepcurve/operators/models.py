@@ -20,10 +20,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,3 +220,40 @@ def fit_t_learner(train: DataFrame, features: Sequence[str], treatment: str, out
         x = filled_features(train.where(F.col(treatment) == arm), fills, features, [F.col(outcome).cast("double").alias("y")])
         models.append(GBTRegressor(featuresCol="features", labelCol="y", seed=seed, **kw).fit(x))
     return TLearner(fills, models[0], models[1], features)
+
+
+# ---------------------------------------------------------------- hand-off
+
+def _save_fills(spark, fills: dict, path: str) -> None:
+    rows = [(k, c, float(v)) for k, (c, v) in enumerate(fills.items())]
+    spark.createDataFrame(rows, "place int, feature string, value double").coalesce(1).write.mode("overwrite").parquet(f"{path}/fills")
+
+
+def _load_fills(spark, path: str) -> dict[str, float]:
+    return {r["feature"]: r["value"] for r in spark.read.parquet(f"{path}/fills").orderBy("place").collect()}
+
+
+def save_trees(spark, model: TreeModel, path: str) -> None:
+    """A fitted tree classifier as a folder: Spark ML files and its fills, in
+    feature order, with the number of numeric features."""
+    model.model.write().overwrite().save(f"{path}/trees")
+    _save_fills(spark, {**{c: model.fills[c] for c in model.numeric + model.categorical}, "": len(model.numeric)}, path)
+
+
+def load_trees(spark, path: str) -> TreeModel:
+    fills = _load_fills(spark, path)
+    n = int(fills.pop(""))
+    cols = list(fills)
+    return TreeModel(fills, GBTClassificationModel.load(f"{path}/trees"), cols[:n], cols[n:])
+
+
+def save_t_learner(spark, model: TLearner, path: str) -> None:
+    for name, m in (("treated", model.m1), ("control", model.m0)):
+        m.write().overwrite().save(f"{path}/{name}")
+    _save_fills(spark, {c: model.fills[c] for c in model.features}, path)
+
+
+def load_t_learner(spark, path: str) -> TLearner:
+    fills = _load_fills(spark, path)
+    arms = [GBTRegressionModel.load(f"{path}/{name}") for name in ("treated", "control")]
+    return TLearner(fills, *arms, list(fills))

@@ -45,3 +45,19 @@ def promotion_gate(candidate: DataFrame, registry: DataFrame, metric: str = PROM
     promote = F.col("champion_value").isNull() | (
         F.col("candidate_value") >= F.col("champion_value") - F.lit(tolerance))
     return j.withColumn("promoted", promote)
+
+
+def apply_gate(registry: DataFrame, candidate: DataFrame, metric: str = PROMOTION_METRIC,
+               tolerance: float = PROMOTION_TOLERANCE) -> DataFrame:
+    """The registry after the gate: the candidate's metrics are logged, and
+    where it is promoted the champion alias moves to it.  Columns as the
+    registry's: model, version, alias, metric, value."""
+    decided = promotion_gate(candidate, registry, metric, tolerance).select(
+        F.col("model").alias("_model"), F.col("candidate_version").alias("_version"), F.coalesce("promoted", F.lit(False)).alias("_won"))
+    won = F.coalesce(F.col("_won"), F.lit(False))
+    keeps = ~(won & F.coalesce(F.col("alias") == "champion", F.lit(False)))
+    old = registry.join(decided.drop("_version"), F.col("model") == F.col("_model"), "left").withColumn("alias", F.when(keeps, F.col("alias")))
+    new = candidate.join(decided, (F.col("model") == F.col("_model")) & (F.col("version") == F.col("_version")), "left")
+    new = new.withColumn("alias", F.when(won, F.lit("champion")))
+    columns = ["model", "version", "alias", "metric", "value"]
+    return old.select(columns).unionByName(new.select(columns))

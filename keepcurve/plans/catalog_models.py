@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keepcurve.operators import cohort as co
 from keepcurve.operators import cox
+from keepcurve.operators import ltv as lt
 from keepcurve.operators import metrics as me
 from keepcurve.operators import models as mo
 from keepcurve.operators import prep
@@ -24,8 +25,10 @@ from keepcurve.plans.catalog_eval import H
 from keepcurve.plans.catalog_features import snapshot, with_both
 from keepcurve.plans.catalog_survival import churn_score, surv
 from keepcurve.plans.catalog_uplift import CATEGORICAL_FEATURES, HOLDOUT, NUMERIC_FEATURES, SEED
+from keepcurve.plans.catalog_sinks import _table_path
 from keepcurve.plans.registry import query
 from keepcurve.session import cut_lineage
+from keepcurve.sources import snapshots as store
 
 KEEP = ["msno", "label"]
 
@@ -208,3 +211,36 @@ SELECT feature, coalesce(v, mode) AS category, count(*) AS n FROM lg JOIN md USI
 def q_one_hot_counts(spark, sf_dir):
     """Column sums of the one-hot matrix after the mode fill, period1."""
     return prep.one_hot_counts(cut_lineage(snapshot(spark, sf_dir, "period1").select(*CATEGORICAL_FEATURES)), CATEGORICAL_FEATURES)
+
+
+@query("retention_pipeline")
+def q_retention_pipeline(spark, sf_dir):
+    """The fitted chain end to end: champion trees, Cox model and T-learner are
+    fitted, stored and loaded again; their scores make the LTV table and
+    segments (stored, S7) and, joined to the uplift, the offer targeting list
+    (S8), which is returned."""
+    at = _table_path(spark, "retention_pipeline")
+    p1, p2 = _periods(spark, sf_dir)
+    mo.save_trees(spark, _gbt(p1), f"{at}/champion")
+    experiment = co.stratified_split(co.ab_assignment(p2, "msno", SEED), "msno", "treatment", HOLDOUT, SEED, names=("train", "test"))
+    train = experiment.where(F.col("split") == "train").withColumn("observed_retained", 1 - F.col("is_churn"))
+    mo.save_t_learner(spark, mo.fit_t_learner(train, FILL_FEATURES, "treatment", "observed_retained"), f"{at}/uplift")
+    s, x = _cox_input(spark, sf_dir, [*FILL_FEATURES, "last_actual_amount_paid", "last_payment_plan_days"])
+    fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
+    store.write_table(cox.cox_summary(spark, fit), f"{at}/cox")
+
+    champion, uplift = mo.load_trees(spark, f"{at}/champion"), mo.load_t_learner(spark, f"{at}/uplift")
+    coefs = {r["covariate"]: r["coef"] for r in spark.read.parquet(f"{at}/cox").collect()}
+    hazard = cut_lineage(sv.partial_hazard(x, coefs, None, "theta"))
+    base = sv.breslow_baseline(hazard, "tenure_days", "is_churn", "theta")
+    keys = ["msno", "period"]
+    life = lt.expected_remaining_life(hazard.select(*keys, "tenure_days", "theta"), base, "tenure_days", "theta")
+    money = s.select(*keys, "last_actual_amount_paid", "last_payment_plan_days")
+    churn = champion.score(s, keys).withColumnRenamed("score", "churn_probability")
+    valued = cut_lineage(lt.ltv(lt.daily_revenue(life.join(money, keys))).join(churn, keys))
+    store.write_table(lt.retention_segments(valued), f"{at}/ltv_table")
+
+    ltv = spark.read.parquet(f"{at}/ltv_table").select(*keys, "ltv", "churn_probability", "retention_priority_segment")
+    targets = up.targeting_list(uplift.effect(p2, keys), ltv)
+    store.write_table(targets, f"{at}/targeting_list")
+    return spark.read.parquet(f"{at}/targeting_list")

@@ -269,14 +269,30 @@ FROM ap c, ap h WHERE c.model = 'frequency' AND h.model = 'recency'""")
 def q_promotion_gate(spark, sf_dir):
     """G1 + G3: registry (champion = recency model, v1) vs candidate
     (frequency model, v2) on OOT PR-AUC with a 0.005 tolerance."""
+    return pm.promotion_gate(*_candidate_and_registry(spark, sf_dir))
+
+
+def _candidate_and_registry(spark, sf_dir):
     ap = model_ap(spark, sf_dir)
-    reg = ap.where(F.col("model") == "recency").select(
-        F.lit("churn-classifier").alias("model"), F.lit(1).alias("version"), F.lit("champion").alias("alias"),
-        F.lit("pr_auc").alias("metric"), F.col("pr_auc").alias("value"))
-    cand = ap.where(F.col("model") == "frequency").select(
-        F.lit("churn-classifier").alias("model"), F.lit(2).alias("version"), F.lit("pr_auc").alias("metric"),
-        F.col("pr_auc").alias("value"))
-    return pm.promotion_gate(cand, reg)
+
+    def logged(name, version, *alias):
+        return ap.where(F.col("model") == name).select(
+            F.lit("churn-classifier").alias("model"), F.lit(version).alias("version"), *alias,
+            F.lit("pr_auc").alias("metric"), F.col("pr_auc").alias("value"))
+
+    return logged("frequency", 2), logged("recency", 1, F.lit("champion").alias("alias"))
+
+
+@query("promotion_applied", MODELS_SQL + f""",
+g AS (SELECT c.pr_auc >= h.pr_auc - {pm.PROMOTION_TOLERANCE} AS promoted, c.pr_auc AS cv, h.pr_auc AS hv
+      FROM ap c, ap h WHERE c.model = 'frequency' AND h.model = 'recency')
+SELECT 'churn-classifier' AS model, 1 AS version, CASE WHEN promoted THEN NULL ELSE 'champion' END AS alias,
+       'pr_auc' AS metric, round(hv, 6) AS value FROM g
+UNION ALL SELECT 'churn-classifier', 2, CASE WHEN promoted THEN 'champion' END, 'pr_auc', round(cv, 6) FROM g""")
+def q_promotion_applied(spark, sf_dir):
+    """The registry table after the gate has been applied."""
+    candidate, registry = _candidate_and_registry(spark, sf_dir)
+    return pm.apply_gate(registry, candidate)
 
 
 # -------------------------------------------------------------------- prep

@@ -75,3 +75,15 @@ def test_t_learner_fills_with_training_medians(spark):
     assert mo.median_fills(df, ["a", "b"]) == {"a": 2.0, "b": 0.0}
     x = mo.filled_features(df, {"a": 2.0, "b": 0.0}, ["a", "b"], []).collect()
     assert sorted(tuple(r["features"]) for r in x) == [(1.0, 0.0), (2.0, 0.0), (2.0, 0.0), (9.0, 0.0)]
+
+
+def test_models_come_back_from_their_folders(spark, tmp_path):
+    df = _train(spark)
+    g = mo.fit_gbt(df, ["x", "z"], ["c"], "label", params={"maxIter": 3})
+    mo.save_trees(spark, g, f"{tmp_path}/trees")
+    again = mo.load_trees(spark, f"{tmp_path}/trees")
+    assert (again.numeric, again.categorical, again.n_trees) == (["x", "z"], ["c"], 3)
+    assert sorted(again.score(df, ["msno"]).collect()) == sorted(g.score(df, ["msno"]).collect())
+    tl = mo.fit_t_learner(df.withColumn("treatment", (F.col("msno") % 2).cast("int")), ["x", "z"], "treatment", "label", params={"maxIter": 2})
+    mo.save_t_learner(spark, tl, f"{tmp_path}/uplift")
+    assert sorted(mo.load_t_learner(spark, f"{tmp_path}/uplift").effect(df, ["msno"]).collect()) == sorted(tl.effect(df, ["msno"]).collect())
