@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keepcurve.llm.common import materialise
+
 # Seed words of the grammar in four languages.
 INSULTS = ("idiot moron stupid loser scum trash worthless pathetic disgusting clown imbecile "
            "dumm trottel abschaum widerlich arschloch "
@@ -21,7 +23,7 @@ REPORTS = ("said says wrote writes quoted called reported according sagte schrie
 
 SEED_WEIGHT = 1.0
 NEGATION_SCOPE = 3
-STEM_LENGTHS = (4, 5, 6)
+STEM_LENGTHS = (4, 5, 6, 7, 8)
 MIN_DOCS = 3
 STANDARD_ERRORS = 2.0
 MIN_WEIGHT = 1.0
@@ -30,6 +32,7 @@ CACHED_WORDS = 300_000
 # Bound of the fit: about so many labelled documents of each class, drawn by a hash of the id.
 FIT_TOXIC, FIT_CLEAN = 3000, 6000
 RIDGE = 0.5
+SKETCH = 4
 
 WORD = r"[^\W\d_]+(?:'[^\W\d_]+)?"
 CLAUSE = r"[.!?;:\n]+"
@@ -127,15 +130,15 @@ class Matcher:
         return w
 
     def features(self, text: str) -> list[float]:
-        """log(1 + weight) by kind of match, the heaviest clause, and the
-        matched weight per word."""
+        """log(1 + weight) by kind of match, the heaviest clause, the matched
+        weight per word, and whether there is any insult or targeted threat."""
         from math import log1p
 
         text = text.lower()
         words = self.words(text)
         weight = self.insult
         if not any(map(weight, words)):
-            return [0.0] * (len(FEATURES) + 2)
+            return [0.0] * (len(FEATURES) + 3)
         sums, heaviest = dict.fromkeys(FEATURES, 0.0), 0.0
         for clause in self.clauses(text):
             found = self.words(clause)
@@ -151,7 +154,7 @@ class Matcher:
                     sums[out] += w
                     score += w if out in "Itk" else 0.0
             heaviest = max(heaviest, score)
-        return [*(log1p(sums[f]) for f in FEATURES), log1p(heaviest), sum(sums.values()) / max(len(words), 1)]
+        return [*(log1p(sums[f]) for f in FEATURES), log1p(heaviest), sum(sums.values()) / max(len(words), 1), float(heaviest > 0)]
 
 
 def entries(word: str) -> list[str]:
@@ -171,6 +174,45 @@ def labelled_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str =
     return one.where(draw < keep * 1_000_000).withColumn("part", part)
 
 
+def signatures(texts: DataFrame) -> DataFrame:
+    """``(row, sketch)``: ``SKETCH`` MinHash values of each text's three-word
+    shingles."""
+    def run(stream):
+        import numpy as np
+        import pyarrow as pa
+        from xxhash import xxh64_intdigest
+
+        odd = np.random.default_rng(1).integers(1, 1 << 62, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for batch in stream:
+            out = []
+            for t in batch.column(1):
+                w = (t.as_py() or "").lower().split()
+                h = np.array([xxh64_intdigest(" ".join(w[i:i + 3])) for i in range(max(1, len(w) - 2))], dtype=np.uint64)
+                out.append([int((h * k).min() >> np.uint64(1)) for k in odd])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["row", "sketch"])
+
+    return texts.select("row", "text").mapInArrow(run, "row long, sketch array<long>")
+
+
+def distinct_rows(texts: DataFrame) -> list[int]:
+    """Rows of the bounded sample, one of each group of copies: copies of one
+    toxic text would make all its words look toxic.  Texts that share a
+    MinHash value are copies."""
+    root: dict[int, int] = {}
+
+    def find(k):
+        while root.setdefault(k, k) != k:
+            k = root[k]
+        return k
+
+    seen: dict[tuple[int, int], int] = {}
+    for row, sketch in sorted(tuple(r) for r in signatures(texts).collect()):
+        for k, v in enumerate(sketch):
+            a, b = find(row), find(seen.setdefault((k, v), row))
+            root[max(a, b)] = min(a, b)
+    return [k for k in root if find(k) == k]
+
+
 def learn_lexicon(texts: DataFrame) -> dict[str, float]:
     """Words and stems of ``texts(text, toxic)`` that mark toxic documents,
     weighted by the lower bound of their log odds ratio."""
@@ -199,7 +241,7 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     weight = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1)) - STANDARD_ERRORS * F.sqrt(1 / a + 1 / b)
     top = c.withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT).orderBy(F.desc("w"), "entry").limit(MAX_LEXICON)
-    return {r["entry"]: float(r["w"]) for r in top.select("entry", "w").collect()}
+    return {r["entry"]: float(r["w"]) for r in top.collect()}
 
 
 def _features(texts: DataFrame, matcher_lexicon: dict[str, float]) -> DataFrame:
@@ -238,17 +280,20 @@ class ToxicityModel:
 
 
 # Weights without any label: bias, then the features in order.
-PRIOR_BETA = (-3.0, 2.0, 3.0, 0.5, 0.3, 0.3, 2.0, 2.0, 1.0)
+PRIOR_BETA = (-3.0, 2.0, 3.0, 0.5, 0.3, 0.3, 2.0, 2.0, 1.0, 0.0)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learn from the labelled rows of ``labels`` (a bounded sample, see
-    ``labelled_sample``).  A lexicon from seven tenths of them serves to fit
+    ``labelled_sample``), one of each group of copies among them.  A lexicon from seven tenths of them serves to fit
     the weights of the clause features on the rest, which it has not seen;
     then the lexicon is learned anew from all.  With labels of one kind only,
     prior weights stand."""
     ids = labelled_sample(labels, id_col, label_col)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").select("text", "toxic", "part")
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+    sample = materialise(sample.select("text", "toxic", "part", F.monotonically_increasing_id().alias("row")))
+    kept = docs.sparkSession.createDataFrame([(k,) for k in distinct_rows(sample)], "row long")
+    texts = materialise(sample.join(F.broadcast(kept), "row", "left_semi"))
     lexicon = learn_lexicon(texts.where("part < 7"))
     import numpy as np
 

@@ -25,7 +25,7 @@ def documents(spark):
 
 def test_grammar_tells_clauses_apart():
     m = toxicity.Matcher({})
-    names = dict(zip([*toxicity.FEATURES, "heaviest", "share"], range(8)))
+    names = dict(zip([*toxicity.FEATURES, "heaviest", "share", "any"], range(9)))
     score = lambda text, f: m.features(text)[names[f]]
     assert score("what an idiot", "I") > 0 and score("what an idiot", "t") == 0
     assert score("you are an idiot", "t") > score("what an idiot", "I")
@@ -33,7 +33,7 @@ def test_grammar_tells_clauses_apart():
     assert score("she said that idiot left", "r") > 0
     assert score("I will kill you", "k") > 0 and score("kill the process", "k") == 0
     assert score("they said so. what an idiot", "r") == 0  # a clause ends the report
-    assert m.features("a clean text") == [0.0] * 8 == m.features("")
+    assert m.features("a clean text") == [0.0] * 9 == m.features("")
 
 
 def test_composition_is_that_of_the_parts():
@@ -71,6 +71,16 @@ def test_learned_stems_reach_unseen_words(spark):
     assert [r["doc_id"] for r in toxicity.without_toxic(new, model).orderBy("doc_id").collect()] == [2, 3, 4]
 
 
+def test_copies_of_a_toxic_text_teach_its_marking_word_only(spark):
+    long = " ".join(f"ordinary{k}" for k in range(60))
+    rows = [(k, f"{long} blarghone number {k % 3}", 1) for k in range(60)]  # many copies of one toxic text
+    rows += [(100 + k, f"text of its own w{k} x{k * 7} y{k * 3} blargh{'abcdef'[k % 6]}", 1) for k in range(60)]
+    rows += [(300 + k, f"text of its own z{k} q{k * 5} p{k * 11} fine", 0) for k in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert any(e.startswith("^blar") for e in model.lexicon) and not any("ordin" in e for e in model.lexicon)
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 9, 30])
 def test_codewords_differ(n):
     c = language_id.codewords(n)
