@@ -32,7 +32,8 @@ CACHED_WORDS = 300_000
 # Bound of the fit: about so many labelled documents of each class, drawn by a hash of the id.
 FIT_TOXIC, FIT_CLEAN = 3000, 6000
 RIDGE = 0.5
-SKETCH = 4
+# MinHash values of a text, in bands; texts that agree in a whole band are copies.
+SKETCH, BAND = 9, 3
 
 WORD = r"[^\W\d_]+(?:'[^\W\d_]+)?"
 CLAUSE = r"[.!?;:\n]+"
@@ -196,8 +197,8 @@ def signatures(texts: DataFrame) -> DataFrame:
 
 def distinct_rows(texts: DataFrame) -> list[int]:
     """Rows of the bounded sample, one of each group of copies: copies of one
-    toxic text would make all its words look toxic.  Texts that share a
-    MinHash value are copies."""
+    toxic text would make all its words look toxic.  Texts whose sketches
+    agree in a band are copies."""
     root: dict[int, int] = {}
 
     def find(k):
@@ -205,10 +206,10 @@ def distinct_rows(texts: DataFrame) -> list[int]:
             k = root[k]
         return k
 
-    seen: dict[tuple[int, int], int] = {}
+    seen: dict[tuple, int] = {}
     for row, sketch in sorted(tuple(r) for r in signatures(texts).collect()):
-        for k, v in enumerate(sketch):
-            a, b = find(row), find(seen.setdefault((k, v), row))
+        for k in range(0, SKETCH, BAND):
+            a, b = find(row), find(seen.setdefault((k, *sketch[k:k + BAND]), row))
             root[max(a, b)] = min(a, b)
     return [k for k in root if find(k) == k]
 
