@@ -38,7 +38,7 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     merge per line; where an estimate is near its bound, the distinct values
     are counted exactly.
     """
-    often = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line")
+    often = materialise(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line"))
     often = materialise(lines.join(often, "line"))
     estimate = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(SKETCH_LG_K)))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")).alias("first")
@@ -72,7 +72,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     and text are treated alike.  Empty input gives an empty result.
     """
     lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
-    spread = boilerplate_lines(lines, min_sites, context_share)
+    spread = materialise(boilerplate_lines(lines, min_sites, context_share))
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
     cut = lines.join(spread, "line").where(~here).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut_lines"))
     cut = cut.withColumnsRenamed({"id": "cut_id", "text_hash": "cut_hash"})
