@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import materialise
+from keepcurve.llm.common import bounded_batches, materialise
 
 # The end of a text as a token; no word contains white space.
 END = b"\n"
@@ -311,6 +311,7 @@ def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str =
     Returns per row ``(<id_col>, learned, n_tokens, n_known, train_tokens,
     base_score, score, perplexity)``, scores as log10 probabilities.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(learn, F.lit(False)).alias("learned"), F.col(text_col).alias("text"))
     counts = materialise(word_counts(rows.where("learned"), "text"))
     total, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()

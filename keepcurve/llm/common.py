@@ -12,12 +12,23 @@ from keepcurve.session import ensure_checkpoint_dir
 
 # Words are maximal runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
+ROWS_PER_BATCH = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches between Spark and Python hold at most
+    ``ROWS_PER_BATCH`` rows: Spark's default of 10,000 whole texts costs tens
+    of MB, several times per task.  A session that asks for fewer keeps that."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > ROWS_PER_BATCH:
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet below the cluster's ``spark.checkpoint.dir``
     and read it back: lineage ends there, executors can be lost, and several

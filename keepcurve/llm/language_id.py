@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keepcurve.llm.common import bounded_batches
+
 ORDERS = (2, 3, 4)
 FEATURES = 1 << 15
 SLICE_BYTES = 1 << 20
@@ -75,6 +77,7 @@ def ngram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(acc[at])], ["lang", "feature", "n"])
 
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    bounded_batches(docs.sparkSession)
     counts = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(count, "lang string, feature int, n long")
     return counts.groupBy("lang", "feature").agg(F.sum("n").alias("n"))
 
@@ -142,5 +145,6 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(close, pa.bool_())],
                                              ["id", "lang_pred", "score", "ambiguous"])
 
+    bounded_batches(docs.sparkSession)
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {id_type}, lang_pred string, score double, ambiguous boolean")
     return out.withColumnRenamed("id", id_col)

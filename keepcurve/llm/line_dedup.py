@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import materialise, word_count
+from keepcurve.llm.common import bounded_batches, materialise, word_count
 
 MIN_SITES = 5
 MIN_WORDS = 3
@@ -71,6 +71,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     loses all its lines is empty; a null site is one site; rows alike in id
     and text are treated alike.  Empty input gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
     spread = materialise(boilerplate_lines(lines, min_sites, context_share))
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keepcurve.llm.common import materialise
+from keepcurve.llm.common import bounded_batches, materialise
 
 MAX_TOKENS = 2048
 OPEN_WINDOWS = 16
 MERGED_PARTITIONS = 64
-CACHED_WORDS = 600_000
+CACHED_WORDS, CACHED_PARTS = 200_000, 400_000
 ROWS_PER_BATCH = 2048
 TOKEN_BYTES = 4
 
@@ -62,7 +62,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
-        self.words, self.parts = Recent(self._word, CACHED_WORDS), Recent(self._part, CACHED_WORDS)
+        self.words, self.parts = Recent(self._word, CACHED_WORDS), Recent(self._part, CACHED_PARTS)
 
     def _part(self, part: str) -> bytes:
         mapped = part if part.isascii() else self.to_bytes(part)[0][0]
@@ -177,6 +177,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     are gapless from 0.  Ids may be null or repeat; every row is a document.
     Empty input gives an empty result.  Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
     piece = T.StructType([
         T.StructField("id", id_type), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),

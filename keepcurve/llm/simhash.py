@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import connected_components, materialise
+from keepcurve.llm.common import bounded_batches, connected_components, materialise
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
@@ -186,6 +186,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
     Returns ``(<id_col>, fingerprint, component_id)`` with the fingerprint as
     16 hex digits.
     """
+    bounded_batches(docs.sparkSession)
     rows = materialise(fingerprints(docs, id_col, text_col, shingle_words))
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("id")))
     links = fingerprint_links(distinct, max_distance)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import materialise
+from keepcurve.llm.common import bounded_batches, materialise
 
 # Seed words of the grammar in four languages.
 INSULTS = ("idiot moron stupid loser scum trash worthless pathetic disgusting clown imbecile "
@@ -290,6 +290,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     the weights of the clause features on the rest, which it has not seen;
     then the lexicon is learned anew from all.  With labels of one kind only,
     prior weights stand."""
+    bounded_batches(docs.sparkSession)
     ids = labelled_sample(labels, id_col, label_col)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
     sample = materialise(sample.select("text", "toxic", "part", F.monotonically_increasing_id().alias("row")))
@@ -326,9 +327,11 @@ def toxicity_score(model: ToxicityModel, text) -> F.Column:
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``(<id_col>, <score_col>)`` for every row.  Ids may be null or repeat;
     empty input gives an empty result."""
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, toxicity_score(model, F.col(text_col)).alias(score_col))
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, unchanged."""
+    bounded_batches(docs.sparkSession)
     return docs.where(toxicity_score(model, F.col(text_col)) < threshold)
