@@ -17,21 +17,26 @@ NEAR = 0.1
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int) -> DataFrame:
     """A row per line of ``min_words`` words: ``(id, text_hash, doc, site, pos,
-    line, context)``.  ``line`` is the md5 of the line without blanks around
-    it, ``context`` a hash of the lines before and after."""
+    line, context, other)``.  ``line`` is the md5 of the line without blanks
+    around it, ``context`` a hash of the lines before and after, ``other`` one
+    of the document's smallest line digest (a MinHash of its lines)."""
     d = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.xxhash64(F.col(site_col)).alias("site"),
         F.split(F.col(text_col), "\n").alias("lines"))
     d = d.withColumn("digests", F.transform("lines", lambda x: F.md5(F.trim(x))))
-    d = d.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc"), "site", "digests", F.posexplode("lines").alias("pos", "body"))
+    d = d.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc"), "site", "digests",
+                 F.xxhash64(F.array_min("digests")).alias("other"), F.posexplode("lines").alias("pos", "body"))
     context = F.xxhash64(F.get("digests", F.col("pos") - 1), F.get("digests", F.col("pos") + 1))
-    return d.where(word_count(F.col("body")) >= min_words).select("id", "text_hash", "doc", "site", "pos", F.get("digests", "pos").alias("line"), context.alias("context"))
+    return d.where(word_count(F.col("body")) >= min_words).select("id", "text_hash", "doc", "site", "pos", F.get("digests", "pos").alias("line"), context.alias("context"), "other")
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_share: float = CONTEXT_SHARE) -> DataFrame:
     """Lines spread over ``min_sites`` or more distinct sites in as many
     distinct surroundings, at least ``context_share`` of their documents':
-    ``(line, first)`` with the line's first place.
+    ``(line, first)`` with the line's first place.  Surroundings differ in the
+    neighbouring lines or, for the inner lines of a passage, which always has
+    the same neighbours, in the documents' MinHash values, which copies of one
+    document mostly share.
 
     Lines that occur less often than that cannot qualify and drop at once.
     For the rest HyperLogLog sketches of sites, surroundings and documents
@@ -42,16 +47,16 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     often = materialise(lines.join(often, "line"))
     estimate = lambda c: F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(SKETCH_LG_K)))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "pos")).alias("first")
-    s = materialise(often.groupBy("line").agg(estimate("site").alias("sites"), estimate("context").alias("contexts"), estimate("doc").alias("docs"), first))
+    s = materialise(often.groupBy("line").agg(estimate("site").alias("sites"), estimate("context").alias("contexts"), estimate("other").alias("others"), estimate("doc").alias("docs"), first))
     bound = F.greatest(F.lit(float(min_sites)), F.col("docs") * F.lit(float(context_share)))
     near = lambda value, limit: F.abs(value - limit) <= F.greatest(F.lit(1.0), limit * NEAR)
-    close = near(F.col("sites"), F.lit(float(min_sites))) | near(F.col("contexts"), bound)
-    enough = (F.col("sites") >= min_sites) & (F.col("contexts") >= bound)
+    close = near(F.col("sites"), F.lit(float(min_sites))) | near(F.col("contexts"), bound) | near(F.col("others"), bound)
+    enough = (F.col("sites") >= min_sites) & (F.greatest("contexts", "others") >= bound)
     clear = s.where(~close & enough).select("line", "first")
     unsure = often.join(s.where(close).select("line"), "line")
     counted = [unsure.select("line", c).distinct().groupBy("line").agg(F.count("*").alias(n))
-               for c, n in (("site", "sites"), ("context", "contexts"), ("doc", "docs"))]
-    exact = counted[0].join(counted[1], "line").join(counted[2], "line").where(enough).select("line")
+               for c, n in (("site", "sites"), ("context", "contexts"), ("other", "others"), ("doc", "docs"))]
+    exact = counted[0].join(counted[1], "line").join(counted[2], "line").join(counted[3], "line").where(enough).select("line")
     return clear.unionByName(s.join(exact, "line").select("line", "first"))
 
 
@@ -61,9 +66,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
 
     A line (blanks at its ends ignored) of ``min_words`` or more words is
     boilerplate when it stands on at least ``min_sites`` sites in that many
-    different surroundings.  The lines of whole documents copied from site to
-    site keep their neighbours; those copies are near duplicates, not
-    boilerplate, and stay.  The place with the smallest (id, text hash,
+    different surroundings (see ``boilerplate_lines``).  The lines of whole
+    documents copied from site to site keep their surroundings; those copies
+    are near duplicates, not boilerplate, and stay.  The place with the smallest (id, text hash,
     position) keeps the line, so no text is lost altogether.
 
     Adds ``n_lines`` and ``n_removed`` (names must be free) to the columns of

@@ -150,15 +150,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup", rf"""
 WITH t AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
-x AS (SELECT doc_id, source, a, unnest(range(1, len(a) + 1)) AS k FROM t),
+x AS (SELECT doc_id, source, a, unnest(range(1, len(a) + 1)) AS k, list_min(list_transform(a, lambda v: md5(trim(v, ' ')))) AS other FROM t),
 l AS (
-  SELECT doc_id, source, k, trim(a[k], ' ') AS line, row(k > 1, trim(a[k - 1], ' '), k < len(a), trim(a[k + 1], ' ')) AS context
+  SELECT doc_id, source, k, trim(a[k], ' ') AS line, row(k > 1, trim(a[k - 1], ' '), k < len(a), trim(a[k + 1], ' ')) AS context, other
   FROM x WHERE len(regexp_extract_all(a[k], '[^ 	-
 ]+')) >= {MIN_WORDS}),
 b AS (
   SELECT line, min(row(doc_id, k)) AS first FROM l GROUP BY line
   HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {MIN_SITES}
-     AND count(DISTINCT context) >= greatest({MIN_SITES}, {CONTEXT_SHARE} * count(DISTINCT doc_id))),
+     AND greatest(count(DISTINCT context), count(DISTINCT other)) >= greatest({MIN_SITES}, {CONTEXT_SHARE} * count(DISTINCT doc_id))),
 cut AS (SELECT l.doc_id, l.k FROM l JOIN b USING (line) WHERE row(l.doc_id, l.k) <> b.first),
 kept AS (
   SELECT x.doc_id, string_agg(x.a[x.k], chr(10) ORDER BY x.k) AS text FROM x

@@ -107,13 +107,14 @@ def brute_lines(rows, min_sites=5, min_words=3, share=0.5):
     for i, site, text in rows:
         if text is not None:
             lines = [x.strip(" ") for x in text.split("\n")]
+            other = min(hashlib.md5(x.encode()).hexdigest() for x in lines)
             for k, x in enumerate(lines):
                 if words(x) >= min_words:
                     around = (lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None)
-                    at[x].append((i is None, i if i is not None else 0, k, site, around, (i, text)))
+                    at[x].append((i is None, i if i is not None else 0, k, site, around, (i, text), other))
     cut = set()
     for x, places in at.items():
-        n_docs, contexts = len({p[5] for p in places}), len({p[4] for p in places})
+        n_docs, contexts = len({p[5] for p in places}), max(len({p[4] for p in places}), len({p[6] for p in places}))
         if len({p[3] for p in places}) >= min_sites and contexts >= max(min_sites, share * n_docs):
             first = min(places, key=lambda p: p[:3])
             cut |= {(p[5], p[2]) for p in places if (p[5], p[2]) != (first[5], first[2])}
@@ -137,3 +138,15 @@ def test_threshold_is_exact(spark):
     got = remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_sites=6).collect()
     left = Counter(t.split("\n")[0] for t in (r["text"] for r in got) if t.startswith("line"))
     assert left == {f"line {x} of spread": 30 if x + 1 < 6 else 1 for x in range(11)}
+
+
+def test_inner_lines_of_a_passage_go_too(spark):
+    passage = [f"line {k} of a passage that many pages show" for k in range(5)]
+    rows = []
+    for k in range(40):
+        own = [f"page {k} has {j} lines of its own words {k * j}" for j in range(12)]
+        rows.append((k, "\n".join([*own[:6], *passage, *own[6:]]), f"s{k % 8}"))
+    rows += [(100 + k, "\n".join(f"copied text line {j} here" for j in range(10)), f"s{k % 8}") for k in range(30)]
+    got = {r["doc_id"]: r["text"] for r in remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [k for k, t in sorted(got.items()) if any(p in t for p in passage)] == [0] and all(p in got[0] for p in passage)
+    assert all(got[k] == t for k, t, _ in rows if k >= 100)
