@@ -37,6 +37,7 @@ GBT_PARAMS = dict(maxIter=300, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, f
 UPLIFT_GBT_PARAMS = dict(maxIter=200, maxDepth=4, stepSize=0.05)
 LOGREG_MAX_ITER = 1000
 PATIENCE = 20
+FIRST_TREES = 64
 
 
 def positive_probability(pred: DataFrame, out_col: str = "score", prob_col: str = "probability") -> DataFrame:
@@ -144,9 +145,10 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
             seed: int = RANDOM_SEED, patience: int = PATIENCE) -> TreeModel:
     """Boosted trees with missing indicators.
 
-    With ``valid`` rows the model stops early: all trees are grown on
-    ``train``, the loss after each is read on ``valid``, and the model is
-    grown again (same seed, so the same trees) to the best length."""
+    With ``valid`` rows the model stops early: trees are grown on ``train``,
+    twice as many each time until the loss on ``valid`` has not improved for
+    ``patience`` trees, and then to the best length.  The seed gives the same
+    trees each time."""
     cols = list(numeric) + list(categorical)
     fills = missing_fills(train, cols)
     target = F.col(label).cast("double").alias(label)
@@ -154,13 +156,20 @@ def fit_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
     gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **dict(GBT_PARAMS, **(params or {})))
     if weight_col:
         gbt = gbt.setWeightCol(weight_col)
-    model = gbt.fit(x)
-    if valid is not None:
-        unweighted = [F.lit(1.0).alias(weight_col)] if weight_col else []
-        losses = model.evaluateEachIteration(tree_features(valid, fills, numeric, categorical, [target, *unweighted]))
-        n = best_length(losses, patience)
-        if n < len(losses):
-            model = gbt.setMaxIter(n).fit(x)
+    if valid is None:
+        return TreeModel(fills, gbt.fit(x), numeric, categorical)
+    unweighted = [F.lit(1.0).alias(weight_col)] if weight_col else []
+    v = cut_lineage(tree_features(valid, fills, numeric, categorical, [target, *unweighted]))
+    most = gbt.getMaxIter()
+    n = min(FIRST_TREES, most)
+    while True:
+        model = gbt.setMaxIter(n).fit(x)
+        best = best_length(model.evaluateEachIteration(v), patience)
+        if n == most or n - best >= patience:
+            break
+        n = min(2 * n, most)
+    if best < n:
+        model = gbt.setMaxIter(best).fit(x)
     return TreeModel(fills, model, numeric, categorical)
 
 

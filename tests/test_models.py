@@ -54,7 +54,8 @@ def test_best_length_has_patience():
     assert mo.best_length([0.9, 0.8, 0.7], patience=3) == 3 and mo.best_length([0.5], patience=1) == 1
 
 
-def test_early_stopping_keeps_more_than_one_tree_and_the_best_length(spark):
+def test_early_stopping_keeps_more_than_one_tree_and_the_best_length(spark, monkeypatch):
+    monkeypatch.setattr(mo, "FIRST_TREES", 10)  # some rounds of doubling
     df = _train(spark, n=1200, seed=3)
     train, valid = df.where("split = 'train'"), df.where("split = 'valid'")
     params = {"maxIter": 40, "stepSize": 0.3}
