@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import struct
+import array
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from keepcurve.llm.common import bounded_batches, materialise
 MAX_TOKENS = 2048
 OPEN_WINDOWS = 16
 MERGED_PARTITIONS = 64
-CACHED_WORDS, CACHED_PARTS = 200_000, 400_000
+CACHED_WORDS, CACHED_PARTS = 600_000, 600_000
 ROWS_PER_BATCH = 2048
 TOKEN_BYTES = 4
 
@@ -56,24 +57,30 @@ class WordEncoder:
     def __init__(self, path: str):
         import re
 
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.tokens = self.tokenizer.model.tokenize
+        # byte-level models write a byte that is no visible Latin-1 character as the next one from 256 on
+        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.shown = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in visible)}
+        self.latin = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
         self.simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
         self.words, self.parts = Recent(self._word, CACHED_WORDS), Recent(self._part, CACHED_PARTS)
 
     def _part(self, part: str) -> bytes:
-        mapped = part if part.isascii() else self.to_bytes(part)[0][0]
-        return _pack([t.id for t in self.model.tokenize(mapped)])
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.shown)
+        return _pack([t.id for t in self.tokens(part)])
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha() and (word.isascii() or self.latin(word)):
+            return self.parts[word.lower()]
         two = self.simple(word)
         if two is None:
             return _pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
         letters, marks = two.groups()
-        return self.parts[letters.lower()] + self.parts[marks] if marks else self.parts[letters.lower()]
+        return self.parts[letters.lower()] + self.parts[marks]
 
     def encode(self, text: str) -> bytes:
         self.words.turn()
@@ -83,7 +90,10 @@ class WordEncoder:
 
 
 def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    out = array.array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 def _encoder(path: str) -> WordEncoder:
