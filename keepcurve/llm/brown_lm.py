@@ -75,7 +75,9 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     fits = [n for (n, _), total in zip(by_count, accumulate(k for _, k in by_count)) if total <= most]
     if not fits:
         return []
-    return sorted(((bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= fits[-1]).collect()), key=lambda x: (-x[1], x[0]))
+    found = counts.where(F.col("n") >= fits[-1]).toArrow()
+    words, n = found.column("word").to_pylist(), found.column("n").to_pylist()
+    return sorted(zip(words, n), key=lambda x: (-x[1], x[0]))
 
 
 def encode(docs: DataFrame, frequent: list[tuple[bytes, int]], text_col: str) -> DataFrame:
