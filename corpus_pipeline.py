@@ -32,7 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go from all documents but their first; no document goes."""
-    out = remove_boilerplate(docs)
+    out = remove_boilerplate(docs, copies_once=True)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))

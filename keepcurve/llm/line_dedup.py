@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepcurve.llm.common import bounded_batches, materialise, word_count
+from keepcurve.llm.common import bounded_batches, connected_components, materialise, word_count
 
 MIN_SITES = 5
 MIN_WORDS = 3
@@ -13,6 +13,9 @@ CONTEXT_SHARE = 0.5
 SKETCH_LG_K = 12
 # An estimate this close to a bound (relative, and at least 1) is counted exactly; three standard errors are 5 %.
 NEAR = 0.1
+# Copies of a text, edited or not: this share of MinHash values of their words agrees; texts meet in bands.
+COPY_SHARE = 0.7
+BANDS, BAND = 32, 4
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int) -> DataFrame:
@@ -30,7 +33,38 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words
     return d.where(word_count(F.col("body")) >= min_words).select("id", "text_hash", "doc", "site", "pos", F.get("digests", "pos").alias("line"), context.alias("context"), "other")
 
 
-def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_share: float = CONTEXT_SHARE) -> DataFrame:
+def copy_groups(texts: DataFrame) -> DataFrame:
+    """``(text_hash, group)`` for the distinct ``texts(text_hash, text)``:
+    texts whose word sets overlap by about ``COPY_SHARE`` are linked, and a
+    group is a component of the links.  Within a band's bucket each text is
+    compared with the smallest and the largest hash only, so a bucket costs
+    no more than its size."""
+    def run(stream):
+        import numpy as np
+        import pyarrow as pa
+        from xxhash import xxh64_intdigest
+
+        odd = np.random.default_rng(1).integers(1, 1 << 62, BANDS * BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for batch in stream:
+            out = []
+            for t in batch.column(1):
+                h = np.array([xxh64_intdigest(w) for w in set(t.as_py().lower().split()) or {b""}], dtype=np.uint64)
+                out.append([int((h * k).min() >> np.uint64(1)) for k in odd])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["text_hash", "sketch"])
+
+    sketches = materialise(texts.select("text_hash", F.col("text").cast("binary").alias("text")).mapInArrow(run, "text_hash long, sketch array<long>"))
+    bands = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, slice(sketch, b * {BAND} + 1, {BAND})))")
+    keys = sketches.select("text_hash", F.explode(bands).alias("key"))
+    ends = keys.groupBy("key").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("z")).where("a <> z")
+    pairs = keys.join(ends, "key").select("text_hash", F.explode(F.array("a", "z")).alias("other")).where("text_hash <> other").distinct()
+    pairs = pairs.join(sketches, "text_hash").join(sketches.selectExpr("text_hash AS other", "sketch AS other_sketch"), "other")
+    agree = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y), lambda x: x))
+    links = pairs.where(agree >= COPY_SHARE * BANDS * BAND).select(F.col("text_hash").alias("src"), F.col("other").alias("dst"))
+    found = connected_components(links)
+    return sketches.join(found, sketches["text_hash"] == found["node"], "left").select("text_hash", F.coalesce("component", "text_hash").alias("group"))
+
+
+def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_share: float = CONTEXT_SHARE, texts: DataFrame | None = None) -> DataFrame:
     """Lines spread over ``min_sites`` or more distinct sites in as many
     distinct surroundings, at least ``context_share`` of their documents':
     ``(line, first)`` with the line's first place.  Surroundings differ in the
@@ -42,6 +76,11 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     For the rest HyperLogLog sketches of sites, surroundings and documents
     merge per line; where an estimate is near its bound, the distinct values
     are counted exactly.
+
+    With ``texts(id, text_hash, text)`` a line also qualifies by the groups of
+    copies it stands in (``copy_groups``), a group counted once whatever its
+    size: ``min_sites`` sites and as many groups, however long the passage and
+    however often a document is copied.
     """
     often = materialise(lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line"))
     often = materialise(lines.join(often, "line"))
@@ -57,11 +96,27 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     counted = [unsure.select("line", c).distinct().groupBy("line").agg(F.count("*").alias(n))
                for c, n in (("site", "sites"), ("context", "contexts"), ("other", "others"), ("doc", "docs"))]
     exact = counted[0].join(counted[1], "line").join(counted[2], "line").join(counted[3], "line").where(enough).select("line")
-    return clear.unionByName(s.join(exact, "line").select("line", "first"))
+    found = clear.unionByName(s.join(exact, "line").select("line", "first"))
+    if texts is None:
+        return found
+    found = materialise(found)
+    # estimates of so few values are off by less than one
+    open_lines = s.where((F.col("sites") >= min_sites - 1) & (F.col("docs") >= min_sites - 1)).join(found, "line", "left_anti").select("line")
+    one = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("one")
+    rest = materialise(often.join(open_lines, "line").groupBy("line", "site", "text_hash").agg(one))
+    for c in ("site", "text_hash"):
+        wide = rest.select("line", c).distinct().groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
+        rest = rest.join(wide.select("line"), "line", "left_semi")
+    rest = materialise(rest)
+    held = rest.groupBy("text_hash").agg(F.min("one").alias("one")).select(F.col("one.id").alias("held_id"), F.col("text_hash").alias("held_hash"))
+    held = texts.join(held, F.col("id").eqNullSafe(F.col("held_id")) & (F.col("text_hash") == F.col("held_hash")))
+    groups = copy_groups(held.groupBy("text_hash").agg(F.first("text").alias("text")))
+    spread = rest.join(groups, "text_hash").select("line", "group").distinct().groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites)
+    return found.unionByName(s.join(spread.select("line"), "line").select("line", "first"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, context_share: float = CONTEXT_SHARE,
-                       id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", copies_once: bool = False) -> DataFrame:
     """``docs`` with every boilerplate line cut but for its first place.
 
     A line (blanks at its ends ignored) of ``min_words`` or more words is
@@ -69,7 +124,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     different surroundings (see ``boilerplate_lines``).  The lines of whole
     documents copied from site to site keep their surroundings; those copies
     are near duplicates, not boilerplate, and stay.  The place with the smallest (id, text hash,
-    position) keeps the line, so no text is lost altogether.
+    position) keeps the line, so no text is lost altogether.  With ``copies_once``
+    lines also go that stand in ``min_sites`` groups of copies on as many sites.
 
     Adds ``n_lines`` and ``n_removed`` (names must be free) to the columns of
     ``docs``; no row goes.  A null text stays null with 0 lines; a text that
@@ -78,7 +134,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     """
     bounded_batches(docs.sparkSession)
     lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
-    spread = materialise(boilerplate_lines(lines, min_sites, context_share))
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    spread = materialise(boilerplate_lines(lines, min_sites, context_share, texts if copies_once else None))
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
     cut = lines.join(spread, "line").where(~here).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut_lines"))
     cut = cut.withColumnsRenamed({"id": "cut_id", "text_hash": "cut_hash"})

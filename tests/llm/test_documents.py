@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from corpus_pipeline import line_dedup
 from keepcurve.llm.line_dedup import remove_boilerplate
 from keepcurve.llm.mixing import mix_sources, mixed_documents
 from keepcurve.llm.sharding import shard_documents
@@ -150,3 +151,20 @@ def test_inner_lines_of_a_passage_go_too(spark):
     got = {r["doc_id"]: r["text"] for r in remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert [k for k, t in sorted(got.items()) if any(p in t for p in passage)] == [0] and all(p in got[0] for p in passage)
     assert all(got[k] == t for k, t, _ in rows if k >= 100)
+
+
+def own_line(k, j):
+    return " ".join(f"own{k}x{j}y{i}" for i in range(8))
+
+
+@pytest.mark.parametrize("n, size", [(6, 8), (2, 5)])
+def test_stage_cuts_passages_longer_than_the_documents_own_text(spark, n, size):
+    passage = [f"shared{j} words of passage line number{j} here now" for j in range(size)]
+    rows = [(k, "\n".join([*(own_line(k, j) for j in range(n)), *passage, own_line(k, n)]), f"s{k % 20}") for k in range(200)]
+    for k in range(60):  # near copies: two of twenty lines differ
+        copy = [f"copied{j} text{j} of one{j} document{j} that{j} travels{j}" for j in range(20)]
+        copy[k % 20], copy[(k + 9) % 20] = own_line(1000 + k, 0), own_line(1000 + k, 1)
+        rows.append((1000 + k, "\n".join(copy), f"s{k % 20}"))
+    got = {r["doc_id"]: r["text"] for r in line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
+    assert [k for k, t in sorted(got.items()) if any(p in t for p in passage)] == [0] and all(p in got[0] for p in passage)
+    assert all(got[k] == t for k, t, _ in rows if k >= 1000)
