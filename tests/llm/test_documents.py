@@ -168,3 +168,13 @@ def test_stage_cuts_passages_longer_than_the_documents_own_text(spark, n, size):
     got = {r["doc_id"]: r["text"] for r in line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
     assert [k for k, t in sorted(got.items()) if any(p in t for p in passage)] == [0] and all(p in got[0] for p in passage)
     assert all(got[k] == t for k, t, _ in rows if k >= 1000)
+
+
+def test_stage_cuts_a_footer_that_a_much_copied_document_carries(spark):
+    foot, body = "a footer that all these pages carry", [own_line(999, j) for j in range(12)]
+    rows = [(k, "\n".join([own_line(k, 0), own_line(k, 1), foot]), f"s{k % 20}") for k in range(40)]
+    for k in range(120):  # copies, some with a line edited
+        rows.append((1000 + k, "\n".join([own_line(1000 + k, 0) if k % 3 == 0 and j == k % 12 else x for j, x in enumerate(body)] + [foot]), f"s{k % 20}"))
+    got = {r["doc_id"]: r["text"] for r in line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
+    assert [k for k, t in sorted(got.items()) if foot in t] == [0]
+    assert all(got[k] == t.removesuffix("\n" + foot) for k, t, _ in rows if k)  # nothing else goes
