@@ -10,8 +10,9 @@ from keepcurve.llm.common import finite_vector, materialise
 SCALE = 256
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 256
-# Components beyond this quantise to more than 31 bits; such vectors count as not finite.
-LARGEST = float(1 << 22)
+# Vectors with components beyond this are not bit-sliced but scored with integers of any size.
+LARGEST = float(1 << 46)
+LONG = 1 << 63
 
 
 def _slices(codes):
@@ -77,6 +78,47 @@ def _top(slices, allowed, k):
     return rows
 
 
+def exact_codes(vectors):
+    """floor(256 x) of doubles of any size: a matrix of Python integers."""
+    import math
+
+    import numpy as np
+
+    out = np.empty((len(vectors), len(vectors[0])), dtype=object)
+    for r, v in enumerate(vectors):  # a double beyond 2^53 is an integer
+        out[r] = [int(x) * SCALE if abs(x) >= 1 << 53 else math.floor(x * SCALE) for x in v]
+    return out
+
+
+def inner(codes, q):
+    """Exact inner products: longs where they fit, else Python integers."""
+    if codes.dtype == object or q.dtype == object or not len(codes):
+        return codes.astype(object) @ q.astype(object) if len(codes) else codes[:, 0]
+    bound = int(abs(codes).max()) * int(abs(q).max()) * len(q)
+    return codes @ q if bound < LONG else codes.astype(object) @ q.astype(object)
+
+
+def search_any(rows, queries, k):
+    """Top k of one block for each query, as ``search_block``, where rows and
+    queries are each ``((codes, ids), (wide codes, wide ids))``; whatever is
+    wide meets every row of the other side."""
+    (codes, ids), (wide, wide_ids) = rows
+    for part, (q_codes, q_ids) in enumerate(queries):
+        sliced = search_block(codes, ids, q_codes, q_ids, k) if len(ids) and not part else None
+        for q, q_id in zip(q_codes, q_ids):
+            best = []
+            if sliced is not None:
+                _, found, score = next(sliced)
+                best += zip(score.tolist(), found.tolist())
+            elif len(ids):
+                best += zip(inner(codes, q).tolist(), ids.tolist())
+            if len(wide_ids):
+                best += zip(inner(wide, q).tolist(), wide_ids.tolist())
+            if sliced is None or len(wide_ids):
+                best = sorted(((s, i) for s, i in best if i != q_id), key=lambda x: (-x[0], x[1]))[:k]
+            yield q_id, [i for _, i in best], [s for s, _ in best]
+
+
 def search_block(codes, ids, q_codes, q_ids, k):
     """Top k of one block of rows (in id order) for each query: yields
     (query id, row ids, scores).  A query's own row takes no part."""
@@ -101,8 +143,8 @@ def search_block(codes, ids, q_codes, q_ids, k):
         own = np.flatnonzero(ids == q_id)
         allowed[own >> 3] &= ~(1 << (7 - (own & 7))).astype(np.uint8)
         rows = _top(_add_slices(stacks), allowed, k)
-        score = codes[rows] @ q
-        order = np.lexsort((ids[rows], -score))
+        score = inner(codes[rows], q)
+        order = np.lexsort((ids[rows], -score)) if score.dtype != object else sorted(range(len(rows)), key=lambda x: (-score[x], ids[rows[x]]))
         yield q_id, ids[rows][order], score[order]
 
 
@@ -117,10 +159,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     selected on the sum's slices from the most significant down, boundary
     ties in id order, and their scores recomputed exactly.  A query's results
     from the blocks meet in one window of k rows per block.  Blocks of queries
-    meet blocks of rows, so neither side is broadcast or gathered.
+    meet blocks of rows, so neither side is broadcast or gathered.  Vectors
+    with components beyond +-2^46 are scored one by one with integers of any
+    size.  Ranks are exact for all; a score that no long holds is null.
 
-    Null vectors and those with null or non-finite components, components
-    beyond +-2^22 or a null id take no part; vectors meet only those of their
+    Null vectors and those with null or non-finite components or a null id
+    take no part; vectors meet only those of their
     own length; a row with the query's id is never its result.  Rows alike in
     id and vector are ranked one after the other.  Empty input gives an empty
     result.  Returns ``(query_id, rank, <id_col>, score)``, ranks from 1,
@@ -128,9 +172,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """
     def coded(df):
         v = F.col(vector_col)
-        ok = finite_vector(v) & ~F.coalesce(F.exists(v, lambda x: F.abs(x) > LARGEST), F.lit(True)) & F.col(id_col).isNotNull()
-        code = F.transform(v, lambda x: F.floor(x.cast("double") * SCALE).cast("int"))
-        return df.where(ok).select(F.col(id_col).cast("long").alias("id"), code.alias("code"), F.size(v).alias("dim")).where("dim > 0")
+        large = F.exists(v, lambda x: F.abs(x) > LARGEST)
+        code = F.when(~large, F.transform(v, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
+        wide = F.when(large, v.cast("array<double>"))
+        return df.where(finite_vector(v) & F.col(id_col).isNotNull()).select(
+            F.col(id_col).cast("long").alias("id"), code.alias("code"), wide.alias("wide"), F.size(v).alias("dim")).where("dim > 0")
 
     rows, asked = materialise(coded(vectors)), materialise(coded(queries))
     counts = [df.count() for df in (rows, asked)]
@@ -144,23 +190,34 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("side", pa.int32()), ("score", pa.int64()), ("beyond", pa.binary())])
         if not r.num_rows or not q.num_rows:
             return schema.empty_table()
 
-        def matrix(t):
-            codes = t.column("code").combine_chunks()
-            codes = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(t.num_rows, -1)
-            ids = t.column("id").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            return codes[order], ids[order]
-
-        codes, ids = matrix(r)
-        found = list(search_block(codes, ids, *matrix(q), k))
-        return pa.table([np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64),
-                         np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])], schema=schema)
-
-    found = left.cogroup(right).applyInArrow(search, "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        def matrices(t):
+            import pyarrow.compute as pc
+
+            small = t.filter(pc.is_valid(t.column("code")))
+            large = t.filter(pc.is_valid(t.column("wide")))
+            codes = small.column("code").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            parts = [(codes.reshape(small.num_rows, -1) if small.num_rows else codes.reshape(0, 1), small.column("id").to_numpy())]
+            wide = large.column("wide").to_pylist()
+            parts.append((exact_codes(wide) if wide else np.empty((0, 1), dtype=object), large.column("id").to_numpy()))
+            orders = [np.argsort(ids, kind="stable") for _, ids in parts]
+            return [(c[o], ids[o]) for (c, ids), o in zip(parts, orders)]
+
+        def beyond(s):  # bytes in the order of the integers of one sign
+            size = (abs(s).bit_length() + 7) // 8
+            b = size.to_bytes(4, "big") + abs(s).to_bytes(size, "big")
+            return b if s > 0 else bytes(255 - x for x in b)
+
+        found = [(int(i), row, s) for i, rows, scores in search_any(matrices(r), matrices(q), k) for row, s in zip(rows, scores)]
+        side = [0 if -LONG <= s < LONG else 1 if s > 0 else -1 for _, _, s in found]
+        return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(side, pa.int32()),
+                         pa.array([None if x else f[2] for f, x in zip(found, side)], pa.int64()),
+                         pa.array([beyond(f[2]) if x else None for f, x in zip(found, side)], pa.binary())], schema=schema)
+
+    found = left.cogroup(right).applyInArrow(search, "query_id long, id long, side int, score long, beyond binary")
+    best = Window.partitionBy("query_id").orderBy(F.desc("side"), F.desc("score"), F.desc("beyond"), "id")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

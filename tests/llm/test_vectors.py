@@ -87,3 +87,17 @@ def test_top_k_equals_brute_force(spark, blocks):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = top_k(df, df.where("vec_id % 50 = 0"), 5, rows_per_block=blocks[0], queries_per_block=blocks[1])
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == brute_top(rows, 5)
+
+
+def test_search_keeps_large_components(spark):
+    import math
+
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(x) * size for x in rng.normal(size=3)]) for k, size in enumerate([1, 1e4, 1e7, 1e10, 1e15, 1e25, 1e38, 1e150, 1e300] * 3)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    code = {k: [math.floor(x * 256) if abs(x) < 2 ** 53 else int(x) * 256 for x in e] for k, e in rows}
+    want = []
+    for q in code:
+        ranked = sorted((-sum(a * b for a, b in zip(code[q], code[k])), k) for k in code if k != q)[:5]
+        want += [(q, n + 1, k, -s if -2 ** 63 <= -s < 2 ** 63 else None) for n, (s, k) in enumerate(ranked)]
+    assert sorted(tuple(r) for r in top_k(v, v, rows_per_block=8, queries_per_block=8).collect()) == sorted(want)
