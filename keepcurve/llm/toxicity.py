@@ -175,6 +175,19 @@ def labelled_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str =
     return one.where(draw < keep * 1_000_000).withColumn("part", part)
 
 
+def bounded_rows(sample: DataFrame) -> DataFrame:
+    """Of ``sample(id, text, toxic, part, row)`` one row per id and text; where
+    ids with several texts still bring more rows of a class than its bound,
+    a share of them by hash, so the bound holds for rows as for ids."""
+    first = [F.first(c).alias(c) for c in ("text", "toxic", "part")]
+    one = materialise(sample.groupBy("id", F.xxhash64("text").alias("text_hash")).agg(*first, F.min("row").alias("row")))
+    n = {r["toxic"]: (r["n"], r["ids"]) for r in one.groupBy("toxic").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).collect()}
+    share = lambda toxic, bound: max(n[toxic][1], bound) / n[toxic][0] if toxic in n else 1.0
+    keep = F.when(F.col("toxic") == 1, share(1, FIT_TOXIC)).otherwise(share(0, FIT_CLEAN))
+    draw = F.pmod(F.xxhash64("text_hash", F.col("id").cast("string"), F.lit("rows")), F.lit(1_000_000))
+    return materialise(one.where(draw < keep * 1_000_000).select("text", "toxic", "part", "row"))
+
+
 def signatures(texts: DataFrame) -> DataFrame:
     """``(row, sketch)``: ``SKETCH`` MinHash values of each text's three-word
     shingles."""
@@ -293,7 +306,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     bounded_batches(docs.sparkSession)
     ids = labelled_sample(labels, id_col, label_col)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    sample = materialise(sample.select("text", "toxic", "part", F.monotonically_increasing_id().alias("row")))
+    sample = bounded_rows(sample.select("id", "text", "toxic", "part", F.monotonically_increasing_id().alias("row")))
     kept = docs.sparkSession.createDataFrame([(k,) for k in distinct_rows(sample)], "row long")
     texts = materialise(sample.join(F.broadcast(kept), "row", "left_semi"))
     lexicon = learn_lexicon(texts.where("part < 7"))

@@ -81,6 +81,19 @@ def test_copies_of_a_toxic_text_teach_its_marking_word_only(spark):
     assert any(e.startswith("^blar") for e in model.lexicon) and not any("ordin" in e for e in model.lexicon)
 
 
+def test_fit_reads_a_bounded_number_of_rows_whatever_repeats(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_TOXIC", 30)
+    monkeypatch.setattr(toxicity, "FIT_CLEAN", 60)
+    rows = [(k, f"text of its own {k} blargh{k % 7}") for k in range(80)]
+    rows += [(3, rows[3][1])] * 500 + [(4, f"another text {k} of id four") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(80)], "doc_id long, toxic int")
+    seen, found = [], toxicity.distinct_rows
+    monkeypatch.setattr(toxicity, "distinct_rows", lambda t: seen.append(Counter(r["toxic"] for r in t.collect())) or found(t))
+    toxicity.fit_toxicity(docs, labels)
+    assert seen[0][0] == 60 and 20 <= seen[0][1] <= 45  # one row per clean id; of 519 toxic rows about the bound
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 9, 30])
 def test_codewords_differ(n):
     c = language_id.codewords(n)
