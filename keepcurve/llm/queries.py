@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keepcurve.llm.brown_lm import score_texts
 from keepcurve.llm.common import remainder, table
 from keepcurve.llm.embedding_dedup import near_duplicate_vectors
+from keepcurve.llm.exact_dedup import exact_duplicates
 from keepcurve.llm.language_id import fit_languages, identify
 from keepcurve.llm.line_dedup import CONTEXT_SHARE, MIN_SITES, MIN_WORDS, remove_boilerplate
 from keepcurve.llm.mixing import mix_sources
@@ -177,3 +178,12 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_texts(docs, remainder(7) != 2)
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@query("op12_exact_dedup", r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm)
+""")
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"), hash_all=True)
