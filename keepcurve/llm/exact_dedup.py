@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepcurve.llm.common import materialise
-from keepcurve.operators.bloom import flag_keys, key_bitmap
+from keepcurve.operators.bloom import flag_keys, key_bitmap, prefilter
 
 SPACE_RE = r"[\x20\x09-\x0D]+"
 PREFIX_CHARS = 256
@@ -26,7 +26,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``prefix_chars`` characters splits the groups, and again the rows alone in
     theirs are done.  Only what survives is read again and hashed in full
     (SHA-256), which decides.  The first pass writes a number and a hash per
-    row; the second finds the survivors through a bitmap of fixed size, so no
+    row; survivors of a level are found through a bitmap of fixed size, so no
     text is ever shuffled (a row let through by chance costs one more hash).
     Groups are counted with map-side partial sums; rows meet their group in a
     join that the adaptive skew join splits where a group is hot.
@@ -44,7 +44,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sized = base.withColumns({"bytes": F.octet_length("norm").cast("long"), "prefix": F.xxhash64(F.substring("norm", 1, prefix_chars))})
     keys = materialise(sized.select("bytes", "prefix"))
     lengths = keys.groupBy("bytes").agg(F.count("*").alias("n")).where("n > 1").select("bytes")
-    prefixes = keys.join(lengths, "bytes", "left_semi").groupBy("bytes", "prefix").agg(F.count("*").alias("n")).where("n > 1")
+    prefixes = prefilter(keys, lengths, ["bytes"]).groupBy("bytes", "prefix").agg(F.count("*").alias("n")).where("n > 1")
     alive = flag_keys(sized, key_bitmap(prefixes, ["bytes", "prefix"]), ["bytes", "prefix"], "alive")
     digest = F.sha2(F.col("norm"), 256)
     rows = materialise(alive.select(
