@@ -13,6 +13,7 @@ from keepcurve.llm.embedding_dedup import near_duplicate_vectors
 from keepcurve.llm.exact_dedup import exact_duplicates
 from keepcurve.llm.language_id import fit_languages, identify
 from keepcurve.llm.line_dedup import CONTEXT_SHARE, MIN_SITES, MIN_WORDS, remove_boilerplate
+from keepcurve.llm.merkle import build_manifest, folded, leaf_digest, proof_digest
 from keepcurve.llm.mixing import mix_sources
 from keepcurve.llm.packing import pack_documents
 from keepcurve.llm.sharding import shard_documents
@@ -187,3 +188,63 @@ FROM t WINDOW w AS (PARTITION BY norm)
 """)
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), hash_all=True)
+
+
+def _part(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+CRC32_SQL = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query("op13_merkle_manifest", f"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN {CRC32_SQL} % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END AS changed FROM documents),
+l AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS n,
+         sha256({" || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+         sha256({" || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", "changed"))}) AS other FROM d),
+up(tree, level, idx, hash, n) AS (
+  SELECT tree, 0, idx, leaf, n FROM l
+  UNION ALL
+  SELECT tree, level + 1, idx // 16, sha256(string_agg(hash, '' ORDER BY idx)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY tree, level, idx // 16, n),
+subs AS (SELECT tree, hash AS subroot FROM up WHERE n = 1),
+top(level, idx, hash, n) AS (
+  SELECT 0, tree, subroot, (SELECT count(*) FROM subs) FROM subs
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(hash, '' ORDER BY idx)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY level, idx // 16, n),
+runs AS (
+  SELECT tree, level, idx // 16 AS run, list(hash ORDER BY idx) AS members FROM up WHERE n > 1 GROUP BY tree, level, idx // 16
+  UNION ALL
+  SELECT -1, level, idx // 16, list(hash ORDER BY idx) FROM top WHERE n > 1 GROUP BY level, idx // 16),
+walk(doc_id, tree, level, idx, acc, proof) AS (
+  SELECT doc_id, tree, 0, idx, other, '' FROM l
+  UNION ALL
+  SELECT w.doc_id, w.tree, w.level + 1, w.idx // 16,
+         sha256(array_to_string(r.members[1:w.idx % 16], '') || w.acc || array_to_string(r.members[w.idx % 16 + 2:], '')),
+         w.proof || array_to_string(r.members[1:w.idx % 16], '') || array_to_string(r.members[w.idx % 16 + 2:], '')
+  FROM walk w JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.run = w.idx // 16),
+low AS (SELECT doc_id, tree, acc, proof FROM walk QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1),
+walk2(doc_id, level, idx, acc, proof) AS (
+  SELECT doc_id, 0, tree, acc, proof FROM low
+  UNION ALL
+  SELECT w.doc_id, w.level + 1, w.idx // 16,
+         sha256(array_to_string(r.members[1:w.idx % 16], '') || w.acc || array_to_string(r.members[w.idx % 16 + 2:], '')),
+         w.proof || array_to_string(r.members[1:w.idx % 16], '') || array_to_string(r.members[w.idx % 16 + 2:], '')
+  FROM walk2 w JOIN runs r ON r.tree = -1 AND r.level = w.level AND r.run = w.idx // 16),
+high AS (SELECT doc_id, acc, proof FROM walk2 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1)
+SELECT l.doc_id, l.leaf, s.subroot, (SELECT hash FROM top WHERE n = 1) AS root, sha256(h.proof) AS proof_sha256, h.acc AS folded_root,
+       h.acc = (SELECT hash FROM top WHERE n = 1) AS verified
+FROM l JOIN subs s USING (tree) JOIN high h USING (doc_id)
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", UPPER, LOWER)
+    tampered = F.when(remainder(5) == 0, leaf_digest([*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), lowered]))
+    p = build_manifest(docs, carry={"tampered": tampered}).proofs()
+    p = p.withColumn("folded_root", folded("path", F.coalesce("tampered", "leaf")))
+    return p.select("doc_id", "leaf", "subroot", "root", proof_digest("path").alias("proof_sha256"), "folded_root",
+                    (F.col("folded_root") == F.col("root")).alias("verified"))
