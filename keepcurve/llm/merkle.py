@@ -174,7 +174,7 @@ def build_manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, id_col: str
     rows = docs.select(
         F.struct(F.col(group_col).alias("g"), F.col(id_col).alias("i"), leaf_digest([docs[c] for c in fields]).alias("h")).alias("key"),
         *[c.alias(f"carried_{n}") for n, c in carry.items()])
-    ranked = row_prefix(rows, "key").select(
+    ranked = row_prefix(materialise(rows), "key").select(
         F.col("key.g").alias("g"), F.col("key.i").alias("i"), (F.col("rn") - 1).alias("rank"), F.col("key.h").alias("leaf"),
         *[f"carried_{n}" for n in carry])
     ranked = materialise(ranked)
