@@ -12,6 +12,7 @@ from keepcurve.llm.common import remainder, table
 from keepcurve.llm.embedding_dedup import near_duplicate_vectors
 from keepcurve.llm.exact_dedup import exact_duplicates
 from keepcurve.llm.language_id import fit_languages, identify
+from keepcurve.llm.lexical_search import search
 from keepcurve.llm.line_dedup import CONTEXT_SHARE, MIN_SITES, MIN_WORDS, remove_boilerplate
 from keepcurve.llm.merkle import build_manifest, folded, leaf_digest, proof_digest
 from keepcurve.llm.mixing import mix_sources
@@ -181,6 +182,27 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+TERM_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op11_lexical_search", f"""
+WITH q AS (SELECT DISTINCT item_id, unnest({TERM_SQL}) AS term FROM benchmark),
+t AS (SELECT doc_id, unnest({TERM_SQL}) AS term FROM documents),
+c AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM t GROUP BY doc_id, term),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM c GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM c, s GROUP BY term, docs),
+m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM d, s),
+r AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN c USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0) WHERE rank <= 50
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op12_exact_dedup", r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256

@@ -51,7 +51,15 @@ def labels(empty=False):
                      "toxic": pa.array([r[2] for r in rows], pa.int32()), "part": pa.array(["extra"] * len(rows), pa.string())})
 
 
+def benchmark(empty=False):
+    rows = [(1, "alpha1 Beta8 end of page"), (2, None), (3, ""), (None, "word"), (1, "no id here"), (4, "..."), (4, "other pages " * 400)]
+    if empty:
+        rows = []
+    return pa.table({"item_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()),
+                     "terms": pa.array(["extra"] * len(rows), pa.string()), "block": pa.array(["extra"] * len(rows), pa.string())})
+
+
 def write(folder, empty=False):
-    for name, make in (("documents", documents), ("embeddings", embeddings), ("labels", labels)):
+    for name, make in (("documents", documents), ("embeddings", embeddings), ("labels", labels), ("benchmark", benchmark)):
         pq.write_table(make(empty), f"{folder}/{name}.parquet")
     return str(folder)

@@ -10,7 +10,8 @@ from tests.llm import edge_tables
 from tools.check_oracles import rows_of
 
 SF = "/root/testdata/sf0.001"
-PER_DOCUMENT = ["op3_simhash_dedup", "op5_toxicity", "op6_sharding", "op7_mixing", "op8_language_id", "op9_line_dedup", "op10_class_lm"]
+PER_DOCUMENT = ["op3_simhash_dedup", "op5_toxicity", "op6_sharding", "op7_mixing", "op8_language_id", "op9_line_dedup", "op10_class_lm",
+                "op12_exact_dedup", "op13_merkle_manifest"]
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +54,6 @@ def test_pipeline_on_awkward_and_empty_tables(spark, edges, nothing):
 def test_query_matches_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t)}.parquet')")
     assert rows_of(QUERIES[name](spark, SF).toPandas()) == rows_of(con.execute(ORACLES[name]).df())
