@@ -84,20 +84,25 @@ def _attach(nodes: DataFrame, parents: DataFrame, level: int, fan_out: int) -> D
     return j.withColumn("path", path).drop("bucket", "p_tree", "p_lo", "p_hi", "p_children", "p_path", "p_bucket")
 
 
-def attach_paths(nodes: DataFrame, levels: list[DataFrame], base: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
+def _from(nodes: DataFrame, base: DataFrame | None) -> DataFrame:
+    return nodes.withColumn("path", F.array().cast(f"array<{STEP}>")) if base is None else nodes.join(base, "tree")
+
+
+def attach_paths(nodes: DataFrame, levels: list[DataFrame], base: DataFrame | None, fan_out: int = FAN_OUT) -> DataFrame:
     """``nodes(tree, lo, hi, ...)``, the leaves, with their ``path`` to the
     root of their tree and on along ``base(tree, path, *top)``; paths are
     arrays of ``(left, right)``: the joined hashes of the siblings before and
-    after, one entry per level.  Columns ``top`` of ``base`` come along."""
-    top = [c for c in base.columns if c not in ("tree", "path")]
+    after, one entry per level.  Columns ``top`` of ``base`` come along;
+    without ``base`` paths end at the root of the tree."""
+    top = [] if base is None else [c for c in base.columns if c not in ("tree", "path")]
     above = None
     for level in range(len(levels), 0, -1):
         here = levels[level - 1].select("tree", "n", "lo", "hi", "children")
-        own = here.where(F.col("n") <= fan_out ** level).join(base, "tree")
+        own = _from(here.where(F.col("n") <= fan_out ** level), base)
         if above is not None:
             own = own.unionByName(_attach(here.where(F.col("n") > fan_out ** level), above, level + 1, fan_out))
         above = own.select("tree", "lo", "hi", "children", "path", *top)
-    lone = nodes.where("n = 1").select("tree").join(base, "tree").select(
+    lone = _from(nodes.where("n = 1").select("tree"), base).select(
         "tree", F.col("tree").alias("lo"), (F.col("tree") + 1).alias("hi"),
         F.lit(None).cast("array<struct<lo:bigint,hi:bigint,hash:string>>").alias("children"), "path", *top)
     above = lone if above is None else above.unionByName(lone)
@@ -135,8 +140,7 @@ class Manifest:
         g = self.groups
         top = g.select(F.lit(0).cast("long").alias("tree"), F.lit(self.n_groups).cast("long").alias("n"), F.col("ordinal").alias("lo"),
                        (F.col("ordinal") + 1).alias("hi"), F.col("tree").alias("group_tree"), "subroot")
-        one = g.sparkSession.range(1).select(F.lit(0).cast("long").alias("tree"), F.array().cast(f"array<{STEP}>").alias("path"))
-        base = attach_paths(top, self.top_levels, one, self.fan_out)
+        base = attach_paths(top, self.top_levels, None, self.fan_out)
         base = materialise(base.select(F.col("group_tree").alias("tree"), "path", "subroot", F.lit(self.root).alias("root")))
         nodes = self.leaves.withColumns({"lo": F.col("rank"), "hi": F.col("rank") + 1})
         return attach_paths(nodes, self.levels, base, self.fan_out).drop("lo", "hi")

@@ -81,12 +81,12 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_topk_search", f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings WHERE {VALID_VECTOR}),
+  SELECT vec_id, row_number() OVER () AS asked, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings WHERE {VALID_VECTOR}),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  SELECT a.asked, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+  SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """)
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "embeddings")

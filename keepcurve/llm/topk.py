@@ -99,7 +99,8 @@ def inner(codes, q):
 
 
 def search_any(rows, queries, k):
-    """Top k of one block for each query, as ``search_block``, where rows and
+    """Top k of one block for each query, as ``search_block`` in the order of
+    ``queries``, where rows and
     queries are each ``((codes, ids), (wide codes, wide ids))``; whatever is
     wide meets every row of the other side."""
     (codes, ids), (wide, wide_ids) = rows
@@ -141,7 +142,7 @@ def search_block(codes, ids, q_codes, q_ids, k):
         stacks = [np.concatenate(by_weight[w]) if w in by_weight else empty for w in range(max(by_weight, default=-1) + 1)]
         allowed = everyone.copy()
         own = np.flatnonzero(ids == q_id)
-        allowed[own >> 3] &= ~(1 << (7 - (own & 7))).astype(np.uint8)
+        np.bitwise_and.at(allowed, own >> 3, ~(1 << (7 - (own & 7))).astype(np.uint8))  # rows of one id may share a byte
         rows = _top(_add_slices(stacks), allowed, k)
         score = inner(codes[rows], q)
         order = np.lexsort((ids[rows], -score)) if score.dtype != object else sorted(range(len(rows)), key=lambda x: (-score[x], ids[rows[x]]))
@@ -152,8 +153,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
           rows_per_block: int = ROWS_PER_BLOCK, queries_per_block: int = QUERIES_PER_BLOCK) -> DataFrame:
     """The ``k`` rows with the highest integer inner product for every query.
 
-    Each component x becomes floor(256 x).  Rows are dealt into blocks by a
-    hash of the id; a block is indexed as one bitmap per attribute and bit.
+    Each component x becomes floor(256 x).  Rows are dealt into blocks by
+    their number in the input, so an id that repeats does not fill one; a block is indexed as one bitmap per attribute and bit.
     A query's score is the sum of the attributes' slices, shifted and added
     by its own bits with bitmap arithmetic; the best rows of a block are
     selected on the sum's slices from the most significant down, boundary
@@ -166,7 +167,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     Null vectors and those with null or non-finite components or a null id
     take no part; vectors meet only those of their
     own length; a row with the query's id is never its result.  Rows alike in
-    id and vector are ranked one after the other.  Empty input gives an empty
+    id and vector are ranked one after the other, and query rows of one id are
+    queries of their own, each with its k results.  Empty input gives an empty
     result.  Returns ``(query_id, rank, <id_col>, score)``, ranks from 1,
     ties to the smaller id.
     """
@@ -178,19 +180,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         return df.where(finite_vector(v) & F.col(id_col).isNotNull()).select(
             F.col(id_col).cast("long").alias("id"), code.alias("code"), wide.alias("wide"), F.size(v).alias("dim")).where("dim > 0")
 
-    rows, asked = materialise(coded(vectors)), materialise(coded(queries))
+    rows = materialise(coded(vectors).withColumn("place", F.monotonically_increasing_id()))
+    asked = materialise(coded(queries).withColumn("asked", F.monotonically_increasing_id()))
     counts = [df.count() for df in (rows, asked)]
     row_blocks, query_blocks = (max(1, -(-n // size)) for n, size in zip(counts, (rows_per_block, queries_per_block)))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    grid = lambda df, own, n, other, m: df.withColumn(own, block(n)).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    left = grid(rows, "rb", row_blocks, "qb", query_blocks).groupBy("dim", "rb", "qb")
-    right = grid(asked, "qb", query_blocks, "rb", row_blocks).groupBy("dim", "rb", "qb")
+    block = lambda number, n: F.pmod(F.xxhash64(number), F.lit(n)).cast("int")
+
+    def grid(df, number, own, n, other, m):
+        return df.withColumn(own, block(number, n)).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).groupBy("dim", "rb", "qb")
+
+    left, right = grid(rows, "place", "rb", row_blocks, "qb", query_blocks), grid(asked, "asked", "qb", query_blocks, "rb", row_blocks)
 
     def search(r, q):
         import numpy as np
         import pyarrow as pa
 
-        schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("side", pa.int32()), ("score", pa.int64()), ("beyond", pa.binary())])
+        schema = pa.schema([("asked", pa.int64()), ("query_id", pa.int64()), ("id", pa.int64()), ("side", pa.int32()), ("score", pa.int64()), ("beyond", pa.binary())])
         if not r.num_rows or not q.num_rows:
             return schema.empty_table()
 
@@ -204,20 +209,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
             wide = large.column("wide").to_pylist()
             parts.append((exact_codes(wide) if wide else np.empty((0, 1), dtype=object), large.column("id").to_numpy()))
             orders = [np.argsort(ids, kind="stable") for _, ids in parts]
-            return [(c[o], ids[o]) for (c, ids), o in zip(parts, orders)]
+            numbers = [p.column("asked").to_numpy()[o] for p, o in zip((small, large), orders)] if "asked" in t.column_names else []
+            return [(c[o], ids[o]) for (c, ids), o in zip(parts, orders)], np.concatenate([*numbers, np.empty(0, np.int64)]).tolist()
 
         def beyond(s):  # bytes in the order of the integers of one sign
             size = (abs(s).bit_length() + 7) // 8
             b = size.to_bytes(4, "big") + abs(s).to_bytes(size, "big")
             return b if s > 0 else bytes(255 - x for x in b)
 
-        found = [(int(i), row, s) for i, rows, scores in search_any(matrices(r), matrices(q), k) for row, s in zip(rows, scores)]
-        side = [0 if -LONG <= s < LONG else 1 if s > 0 else -1 for _, _, s in found]
-        return pa.table([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(side, pa.int32()),
+        block, (asked_block, numbers) = matrices(r)[0], matrices(q)
+        found = [(int(i), row, s, number) for number, (i, rows, scores) in zip(numbers, search_any(block, asked_block, k)) for row, s in zip(rows, scores)]
+        side = [0 if -LONG <= f[2] < LONG else 1 if f[2] > 0 else -1 for f in found]
+        return pa.table([pa.array([f[3] for f in found], pa.int64()), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array(side, pa.int32()),
                          pa.array([None if x else f[2] for f, x in zip(found, side)], pa.int64()),
                          pa.array([beyond(f[2]) if x else None for f, x in zip(found, side)], pa.binary())], schema=schema)
 
-    found = left.cogroup(right).applyInArrow(search, "query_id long, id long, side int, score long, beyond binary")
-    best = Window.partitionBy("query_id").orderBy(F.desc("side"), F.desc("score"), F.desc("beyond"), "id")
+    found = left.cogroup(right).applyInArrow(search, "asked long, query_id long, id long, side int, score long, beyond binary")
+    best = Window.partitionBy("asked").orderBy(F.desc("side"), F.desc("score"), F.desc("beyond"), "id")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

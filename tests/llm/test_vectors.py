@@ -72,7 +72,7 @@ def brute_top(rows, k):
     out = []
     for q, x in good:
         if q % 50 == 0:
-            found = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(x) == len(y))
+            found = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(x) == len(y))  # a row of good: a query of its own
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return sorted(out)
 
@@ -81,12 +81,39 @@ def brute_top(rows, k):
 def test_top_k_equals_brute_force(spark, blocks):
     rng = np.random.default_rng(1)
     t = edge_tables.embeddings()
-    rows = [(i, v) for i, v in zip(t["vec_id"].to_pylist(), t["embedding"].to_pylist()) if i != 12]
+    rows = [(i, v) for i, v in zip(t["vec_id"].to_pylist(), t["embedding"].to_pylist())]
+    rows += [(50, [0.3, 0.2, 0.9])] * 9 + [(0, [float(k), -1.0, 0.5]) for k in range(4)] + [(12, [0.0, 0.5, 0.5])] * 3  # ids that repeat
     rows += [(1000 + k, [float(np.float32(c)) for c in rng.normal(size=3) * 10.0 ** rng.integers(-3, 3)]) for k in range(120)]
     rows += [(2000 + k, [0.5, -0.25, 0.125]) for k in range(9)] + [(3000, [0.0, 0.0, 0.0]), (3050, [-0.001, 0.0, 0.001])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = top_k(df, df.where("vec_id % 50 = 0"), 5, rows_per_block=blocks[0], queries_per_block=blocks[1])
-    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == brute_top(rows, 5)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect())
+    assert got == brute_top(rows, 5)
+    assert sum(q == 50 for q, *_ in got) == 10 * 5 and not any(q == i for q, _, i, _ in got)
+
+
+def test_rows_of_the_query_id_in_one_byte_are_no_results(spark):
+    rows = [(50, [1.0, 1.0])] * 3 + [(k, [0.1 * k, 0.2]) for k in range(1, 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(df, df.where("vec_id % 50 = 0")).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute_top(rows, 5)
+    assert len(got) == 15
+
+
+def test_query_sql_with_repeated_ids(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from keepcurve.llm.queries import ORACLES, QUERIES
+    from tools.check_oracles import rows_of
+
+    rows = [(50, [1.0, 1.0])] * 3 + [(0, [0.5, 2.0]), (0, [2.0, -1.0])] + [(k, [0.1 * k, 0.2]) for k in range(1, 9)]
+    t = pa.table({"vec_id": pa.array([r[0] for r in rows], pa.int64()), "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32()))})
+    pq.write_table(t, f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet')")
+    assert rows_of(QUERIES["op4_topk_search"](spark, str(tmp_path)).toPandas()) == rows_of(con.execute(ORACLES["op4_topk_search"]).df())
 
 
 def test_search_keeps_large_components(spark):
