@@ -17,9 +17,11 @@ Plan shape (per source table):
   * logs: one member aggregate over the raw rows.  Days with activity are bits
     of a few longs (``bit_or``), counted per window with a mask, so days are
     distinct without a shuffle by day.
-  * cohort filter: a left-semi join on the member key after the aggregate.
-    No broadcast hint: AQE broadcasts the cohort only when it is measured
-    small.
+  * cohort filter: rows of members outside the cohort go before the
+    aggregate, by a bitmap of hashed keys of fixed size (``bloom.prefilter``;
+    the log table is not shuffled for it); the few that pass by chance go in
+    an exact left-semi join of the aggregated rows, or in the snapshot's own
+    left join.
   * several cutoffs: rows are tagged with each period they precede after one
     scan, and the aggregates are keyed by (period, member).
 """
@@ -36,6 +38,7 @@ from pyspark.sql import types as T
 
 from keepcurve.functions.dates import as_date, cutoff_lit
 from keepcurve.functions.exprs import guarded_ratio, range_guard, recode, valid_flag
+from keepcurve.operators.bloom import prefilter
 
 # Windows, ranges, codes and source columns of the feature set.
 LOOKBACK_WINDOWS_DAYS = (7, 30, 90, 180)
@@ -88,6 +91,10 @@ def _semi(df: DataFrame, cohort: DataFrame | None, keys: Sequence[str]) -> DataF
     return df if cohort is None else df.join(cohort.select(*keys), list(keys), "left_semi")
 
 
+def _may_be_in(df: DataFrame, cohort: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    return df if cohort is None else prefilter(df, cohort.select(*keys), keys)
+
+
 # ------------------------------------------------------------------ members
 
 def member_features(members: DataFrame, cutoff, key: str = "msno",
@@ -142,10 +149,12 @@ def _recency(t: DataFrame, tie_break: str | None) -> Column:
     """Order of a member's transactions: date, then the unique id.
 
     With an integral id this is one decimal (ids stay below 10^19), which an
-    aggregate buffer holds in place.  Without one the row's fields decide."""
+    aggregate buffer holds in place; a null id comes before any other of its
+    day.  Without one the row's fields decide."""
     if tie_break in t.columns and isinstance(t.schema[tie_break].dataType, T.IntegralType):
         day = F.unix_date("transaction_date").cast("decimal(18,0)") * F.lit(Decimal(10 ** 20)).cast("decimal(21,0)")
-        return (day.cast("decimal(38,0)") + F.col(tie_break).cast("decimal(38,0)")).cast("decimal(38,0)")
+        no_id = F.lit(Decimal(-(2 ** 63) - 1)).cast("decimal(38,0)")
+        return (day.cast("decimal(38,0)") + F.coalesce(F.col(tie_break).cast("decimal(38,0)"), no_id)).cast("decimal(38,0)")
     rest = [tie_break] if tie_break in t.columns else [*LATEST_TX_FIELDS, "membership_expire_date"]
     return F.struct("transaction_date", *rest)
 
@@ -187,21 +196,21 @@ def _tx_member_aggregate(t: DataFrame, keys: Sequence[str], windows: Sequence[in
 def latest_transaction(tx: DataFrame, cutoff, key: str = "msno", tie_break: str | None = "tx_id",
                        cohort: DataFrame | None = None) -> DataFrame:
     """W1 + P7 + P8: current plan/payment state = latest transaction as of cutoff."""
-    return _semi(_latest(_tx_as_of(tx, cutoff), [key], tie_break), cohort, [key])
+    return _semi(_latest(_may_be_in(_tx_as_of(tx, cutoff), cohort, [key]), [key], tie_break), cohort, [key])
 
 
 def transaction_window_features(tx: DataFrame, cutoff, key: str = "msno",
                                 windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS,
                                 cohort: DataFrame | None = None) -> DataFrame:
     """Windowed counts, distinct plans, lifetime sums/avg."""
-    return _semi(_tx_member_aggregate(_tx_as_of(tx, cutoff), [key], windows, None, latest=False), cohort, [key])
+    return _semi(_tx_member_aggregate(_may_be_in(_tx_as_of(tx, cutoff), cohort, [key]), [key], windows, None, latest=False), cohort, [key])
 
 
 def transaction_features(tx: DataFrame, cutoff, key: str = "msno", tie_break: str | None = "tx_id",
                          windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS,
                          cohort: DataFrame | None = None) -> DataFrame:
     """Latest state and window aggregates together (no self-join)."""
-    return _semi(_tx_member_aggregate(_tx_as_of(tx, cutoff), [key], windows, tie_break, latest=True), cohort, [key])
+    return _semi(_tx_member_aggregate(_may_be_in(_tx_as_of(tx, cutoff), cohort, [key]), [key], windows, tie_break, latest=True), cohort, [key])
 
 
 # --------------------------------------------------------------- user logs
@@ -229,7 +238,8 @@ def user_log_features(logs: DataFrame, cutoff, key: str = "msno", cohort: DataFr
                       windows: Sequence[int] = LOOKBACK_WINDOWS_DAYS, date_col: str | None = None) -> DataFrame:
     """Window sums, active days, lifetime sums,
     completion ratio and engagement momentum, all from one member aggregate."""
-    return _semi(_log_member_aggregate(_logs_as_of(logs, cutoff, date_col), [key], windows), cohort, [key])
+    rows = _may_be_in(_logs_as_of(logs, cutoff, date_col), cohort, [key])
+    return _semi(_log_member_aggregate(rows, [key], windows), cohort, [key])
 
 
 def _day_bits(longest: int) -> list[Column]:
@@ -317,7 +327,7 @@ def feature_snapshots(labels: DataFrame, members: DataFrame, transactions: DataF
     tx = _tx_measures(visible(tx, "transaction_date"), cut)
     log_rows = visible(_logs_as_of(logs, latest, None).drop(AGE), "log_date")
     groups = [member_features(tagged(members), cut, key, keep=[period_col]),
-              _semi(_tx_member_aggregate(tx, keys, windows, tie_break, latest=True), cohort, keys),
-              _semi(_log_member_aggregate(log_rows, keys, windows), cohort, keys)]
+              _tx_member_aggregate(_may_be_in(tx, cohort, keys), keys, windows, tie_break, latest=True),
+              _log_member_aggregate(_may_be_in(log_rows, cohort, keys), keys, windows)]
     dates = F.create_map(*[x for p, c in cutoffs.items() for x in (F.lit(p), cutoff_lit(c))])
     return _assemble(labels, keys, groups).withColumn("cutoff_date", F.try_element_at(dates, F.col(period_col)))

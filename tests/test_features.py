@@ -125,3 +125,26 @@ def test_multi_cutoff_snapshot_equals_per_period(spark):
     cols = sorted(per.columns)
     key = lambda r: (r["period"], r["msno"])
     assert sorted(multi.select(cols).collect(), key=key) == sorted(per.select(cols).collect(), key=key)
+
+
+def test_latest_transaction_with_null_tie_break(spark):
+    rows = [("a", 1, 30, 100, 100, 0, 20170101, 20170201, 0, 1), ("a", 2, 30, 100, 100, 0, 20170120, 20170220, 0, None),
+            ("b", 3, 30, 100, 100, 0, 20170105, 20170205, 0, None), ("b", 4, 30, 100, 100, 0, 20170110, 20170210, 0, None),
+            ("c", 5, 30, 100, 100, 0, 20170110, 20170210, 0, None), ("c", 6, 30, 100, 100, 0, 20170110, 20170210, 0, -2 ** 63)]
+    tx = spark.createDataFrame(rows, TX)
+    want = {"a": (2, 11), "b": (4, 21), "c": (6, 21)}  # date first; a null id comes before any other of its day
+    for f in (fe.latest_transaction, fe.transaction_features):
+        got = {r["msno"]: (r["last_payment_method_id"], r["days_since_last_transaction"]) for r in f(tx, CUTOFF).collect()}
+        assert got == want
+
+
+def test_cohort_rows_go_before_the_aggregate(spark):
+    logs = spark.range(40_000).selectExpr("cast(id % 2000 AS string) AS msno", "20170110 AS date", *[f"1 AS {c}" for c in (*fe.PLAY_COLUMNS, "num_unq")],
+                                          "1.0D AS total_secs")
+    cohort = spark.range(500).selectExpr("cast(id * 4 AS string) AS msno")
+    rows = fe._may_be_in(logs, cohort, ["msno"])
+    assert 10_000 <= rows.count() <= 10_400  # a quarter, and the few that share a bit
+    plan = fe.user_log_features(logs, CUTOFF, cohort=cohort)._jdf.queryExecution().optimizedPlan().toString()
+    top = plan.index("Join LeftSemi")
+    assert top < plan.index("Aggregate") < plan.index("Join Inner", top)  # exact join, aggregate, bitmap below it
+    assert {r["msno"] for r in fe.user_log_features(logs, CUTOFF, cohort=cohort).select("msno").collect()} == {str(4 * k) for k in range(500)}
