@@ -70,10 +70,10 @@ def collect_modes(modes: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 
 
 def fit_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str,
-               max_iter: int = LOGREG_MAX_ITER) -> LogRegModel:
-    """C1 + N1 + N2 + N3."""
+               max_iter: int = LOGREG_MAX_ITER, tol: float = 1e-6) -> LogRegModel:
+    """C1 + N1 + N2 + N3; without categoricals there is nothing to encode."""
     stats = collect_stats(prep.standardize_fit(train, numeric).withColumnRenamed("feature", "covariate"))
-    modes = collect_modes(prep.mode_impute_fit(train, categorical), categorical)
+    modes = collect_modes(prep.mode_impute_fit(train, categorical), categorical) if categorical else {}
     w = prep.class_weights(train, label).select(F.col("class").alias("_cls"), F.col("balanced_weight").alias("w"))
     tr = train.join(F.broadcast(w), F.col(label) == F.col("_cls"))  # two-row table
     model_stub = LogRegModel(stats, modes, None, numeric, categorical)
@@ -83,9 +83,9 @@ def fit_logreg(train: DataFrame, numeric: Sequence[str], categorical: Sequence[s
                         handleInvalid="keep", dropLast=True)
     asm = VectorAssembler(inputCols=list(numeric) + [f"{c}_ohe" for c in categorical], outputCol="features")
     n_w = tr.agg(F.sum("w")).first()[0]
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter,
+    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="w", maxIter=max_iter, tol=tol,
                             regParam=1.0 / float(n_w), elasticNetParam=0.0, standardization=False)
-    pm = Pipeline(stages=[*idx, ohe, asm, lr]).fit(x)
+    pm = Pipeline(stages=[*idx, *([ohe] if categorical else []), asm, lr]).fit(x)
     return LogRegModel(stats, modes, pm, numeric, categorical)
 
 

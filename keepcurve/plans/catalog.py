@@ -3,6 +3,7 @@
 from keepcurve.plans import (  # noqa: F401
     catalog_eval,
     catalog_features,
+    catalog_fits,
     catalog_models,
     catalog_sinks,
     catalog_survival,

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 def boost_ctes(p: str, rows: str, features: Mapping[str, Sequence[float]], trees: int, depth: int, rate: float, loss: str = "logistic",
                l2: float = 1.0, min_child_weight: float = 1.0) -> str:
-    """Boosted trees over ``rows`` (columns ``y``, ``w``, ``fit`` and the
+    """Boosted trees (two at depth 2: the planner takes too long over more) over ``rows`` (columns ``y``, ``w``, ``fit`` and the
     features; trees are grown on rows with ``fit``).  The CTE ``<p>`` has the
     rows with the margin ``m_`` of every row."""
     n = list(range(len(features)))
