@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from keepcurve.operators import boosting as bo
 from keepcurve.operators import cohort as co
 from keepcurve.operators import cox
+from keepcurve.operators import isotonic as iso
 from keepcurve.operators import ltv as lt
 from keepcurve.operators import metrics as me
 from keepcurve.operators import models as mo
@@ -23,7 +25,7 @@ from keepcurve.operators.concordance import concordance_index
 from keepcurve.operators.ordered import row_prefix
 from keepcurve.plans.catalog_eval import H
 from keepcurve.plans.catalog_features import snapshot, with_both
-from keepcurve.plans.catalog_survival import churn_score, surv
+from keepcurve.plans.catalog_survival import SURV_SQL, churn_score, cox_prep_sql, surv
 from keepcurve.plans.catalog_uplift import CATEGORICAL_FEATURES, HOLDOUT, NUMERIC_FEATURES, SEED
 from keepcurve.plans.catalog_sinks import _table_path
 from keepcurve.plans.registry import query
@@ -55,6 +57,13 @@ def _gbt(p1):
     return mo.fit_gbt(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label", valid=valid, weight_col="w")
 
 
+def _boosted(p1):
+    """Histogram-boosted trees on the training rows with their missing values;
+    the validation rows' PR-AUC chooses the length."""
+    train = mo.scale_pos_weight_col(p1.where(F.col("split") == "train"), "label", "w")
+    return bo.fit_boosted(train, NUMERIC_FEATURES + CATEGORICAL_FEATURES, "label", "msno", valid=p1.where(F.col("split") == "valid"), weight_col="w")
+
+
 def _trees(spark, model, n):
     """The number of trees as a row of the metric table."""
     return spark.range(1).select(F.lit(model).alias("model"), F.lit("n_trees").alias("metric"), F.lit(float(n)).alias("value"))
@@ -68,12 +77,13 @@ def q_churn_model_metrics(spark, sf_dir):
     train, valid = p1.where(F.col("split") == "train"), p1.where(F.col("split") == "valid")
     lr = mo.fit_logreg(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label")
     out = _metrics("logreg", lr.score(p2, KEEP), _threshold(lr.score(valid, KEEP)))
-    g = _gbt(p1)
+    g = _boosted(p1)
     gv = cut_lineage(g.score(valid, KEEP))
     oot = cut_lineage(g.score(p2, KEEP))
     out = out.unionByName(_metrics("gbt", oot, _threshold(gv))).unionByName(_trees(spark, "gbt", g.n_trees))
-    iso = mo.fit_isotonic(gv)
-    return out.unionByName(_metrics("gbt_isotonic", mo.calibrate(iso, oot), _threshold(mo.calibrate(iso, gv))))
+    blocks = iso.fit_isotonic_blocks(gv)
+    calibrated = [cut_lineage(iso.calibrate_blocks(blocks, s)) for s in (oot, gv)]
+    return out.unionByName(_metrics("gbt_isotonic", calibrated[0], _threshold(calibrated[1])))
 
 
 @query("oot_vs_naive_split")
@@ -130,15 +140,24 @@ def q_cox_summary(spark, sf_dir):
     return cox.cox_summary(spark, fit)
 
 
-@query("cox_gradient_zero", "SELECT covariate, 0.0 AS gradient, true AS converged FROM (VALUES "
-       + ", ".join(f"('{c}')" for c in sv.COX_COVARIATES) + ") t(covariate)")
+def _event_sum(c: str) -> str:
+    x = f"coalesce(CAST({c} AS DOUBLE), (SELECT median FROM cp WHERE covariate = '{c}'))"
+    if c == "engagement_momentum":
+        x = f"least({x}, {sv.MOMENTUM_CLIP})"
+    if c not in sv.BINARY_COX_COVARIATES:
+        x = f"({x} - (SELECT mean FROM cp WHERE covariate = '{c}')) / (SELECT std FROM cp WHERE covariate = '{c}')"
+    return f"SELECT '{c}' AS covariate, round(sum({x}), 4) AS event_sum, true AS converged FROM surv WHERE is_churn = 1"
+
+
+@query("cox_gradient_zero", SURV_SQL + cox_prep_sql() + "\n" + "\nUNION ALL ".join(_event_sum(c) for c in sv.COX_COVARIATES), decimals=4)
 def q_cox_gradient_zero(spark, sf_dir):
-    """K4: at the fitted coefficients the penalised objective's gradient is 0."""
+    """K4: at the optimum the covariates' sums over the events equal what the
+    fit expects there (risk-set means, plus the penalty's share)."""
     _, x = _cox_input(spark, sf_dir)
     fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
-    rows = [(c, float(g), bool(fit["converged"])) for c, g in zip(fit["covariates"], fit["gradient"])]
-    out = spark.createDataFrame(rows, "covariate string, gradient double, converged boolean")
-    return out.withColumn("gradient", F.round("gradient", 5) + F.lit(0.0))
+    expected = fit["expected"] + fit["n"] * cox.PENALIZER * fit["coef"]
+    rows = [(c, float(e), bool(fit["converged"])) for c, e in zip(fit["covariates"], expected)]
+    return spark.createDataFrame(rows, "covariate string, event_sum double, converged boolean")
 
 
 @query("survival_vs_classifier")
@@ -167,7 +186,7 @@ def q_retrain_gate(spark, sf_dir):
     """Train a candidate tree model, evaluate out of time, and gate
     it against the registry's champion (the recency model, version 1)."""
     p1, p2 = _periods(spark, sf_dir)
-    g = _gbt(p1)
+    g = _boosted(p1)
     thr = _threshold(g.score(p1.where(F.col("split") == "valid"), KEEP))
     cand = me.metric_table(cut_lineage(g.score(p2, KEEP)), thr, "label", "score").select(
         F.lit("churn-classifier").alias("model"), F.lit(2).alias("version"), "metric", "value")
@@ -221,7 +240,7 @@ def q_retention_pipeline(spark, sf_dir):
     (S8), which is returned."""
     at = _table_path(spark, "retention_pipeline")
     p1, p2 = _periods(spark, sf_dir)
-    mo.save_trees(spark, _gbt(p1), f"{at}/champion")
+    bo.save_boosted(spark, _boosted(p1), f"{at}/champion")
     experiment = co.stratified_split(co.ab_assignment(p2, "msno", SEED), "msno", "treatment", HOLDOUT, SEED, names=("train", "test"))
     train = experiment.where(F.col("split") == "train").withColumn("observed_retained", 1 - F.col("is_churn"))
     mo.save_t_learner(spark, mo.fit_t_learner(train, FILL_FEATURES, "treatment", "observed_retained"), f"{at}/uplift")
@@ -229,7 +248,7 @@ def q_retention_pipeline(spark, sf_dir):
     fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
     store.write_table(cox.cox_summary(spark, fit), f"{at}/cox")
 
-    champion, uplift = mo.load_trees(spark, f"{at}/champion"), mo.load_t_learner(spark, f"{at}/uplift")
+    champion, uplift = bo.load_boosted(spark, f"{at}/champion"), mo.load_t_learner(spark, f"{at}/uplift")
     coefs = {r["covariate"]: r["coef"] for r in spark.read.parquet(f"{at}/cox").collect()}
     hazard = cut_lineage(sv.partial_hazard(x, coefs, None, "theta"))
     base = sv.breslow_baseline(hazard, "tenure_days", "is_churn", "theta")

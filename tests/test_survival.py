@@ -124,3 +124,22 @@ def test_cox_prep_fill_clip_scale(spark):
     m = pd.Series([1.0, 5.0, 2.0, 2.0])  # median fill 2.0, clip at 5
     assert np.allclose(out["engagement_momentum"], (m - m.mean()) / m.std(ddof=1))
     assert list(out["is_auto_renew"]) == [1.0, 0.0, 1.0, 1.0]  # binary: filled, not scaled
+
+
+def test_efron_sums_in_closed_form_equal_the_loop():
+    import numpy as np
+
+    from keepcurve.operators.cox import efron_sums
+
+    rng = np.random.default_rng(0)
+    for d in (1, 2, 64, 65, 100, 5_000, 200_000):
+        for share in (1.0, 0.999, 0.6, 0.2500001, 0.2499999, 0.1, 1e-3, 1e-7):
+            e0 = float(rng.random() * d + 0.1)
+            a0 = e0 / share
+            c = np.arange(d) / d
+            u = a0 - c * e0
+            want = [(1 / u).sum(), (c / u).sum(), (1 / u ** 2).sum(), (c / u ** 2).sum(), (c * c / u ** 2).sum(), np.log(u).sum()]
+            got = efron_sums([d], [a0], [e0])[:, 0]
+            assert np.allclose(got, want, rtol=1e-10, atol=1e-12), (d, share, got / want - 1)
+    huge = efron_sums([1e9], [3e9], [1e9])[:, 0]  # as an integral: sums over 10^9 events cost the same
+    assert np.allclose(huge[0], np.log(1.5), rtol=1e-8)
