@@ -115,6 +115,26 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     return found.unionByName(s.join(spread.select("line"), "line").select("line", "first"))
 
 
+def _cut(docs: DataFrame, min_sites: int, min_words: int, context_share: float, id_col: str, text_col: str, site_col: str,
+         copies_once: bool) -> DataFrame:
+    """``(row, text, n_lines, n_removed)``: each row of ``docs`` as a struct,
+    whatever its columns are called, with its text after the cuts."""
+    bounded_batches(docs.sparkSession)
+    lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    spread = materialise(boilerplate_lines(lines, min_sites, context_share, texts if copies_once else None))
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
+    cut = lines.join(spread, "line").where(~here).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut_lines"))
+    cut = cut.withColumnsRenamed({"id": "cut_id", "text_hash": "cut_hash"})
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"))
+    j = whole.join(cut, F.col("id").eqNullSafe(F.col("cut_id")) & (F.col("text_hash") == F.col("cut_hash")), "left")
+    text = F.col("row").getField(text_col)
+    all_lines = F.split(text, "\n")
+    left = F.array_join(F.filter(all_lines, lambda x, k: ~F.array_contains(F.col("cut_lines"), k)), "\n")
+    return j.select("row", F.when(F.col("cut_lines").isNull(), text).otherwise(left).alias("text"),
+                    F.when(text.isNull(), 0).otherwise(F.size(all_lines)).alias("n_lines"), F.coalesce(F.size("cut_lines"), F.lit(0)).alias("n_removed"))
+
+
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, context_share: float = CONTEXT_SHARE,
                        id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", copies_once: bool = False) -> DataFrame:
     """``docs`` with every boilerplate line cut but for its first place.
@@ -127,33 +147,29 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     position) keeps the line, so no text is lost altogether.  With ``copies_once``
     lines also go that stand in ``min_sites`` groups of copies on as many sites.
 
-    Adds ``n_lines`` and ``n_removed`` (names must be free) to the columns of
-    ``docs``; no row goes.  A null text stays null with 0 lines; a text that
+    Adds ``n_lines`` and ``n_removed`` to the columns of ``docs``, of which
+    columns called so give way; other columns pass unchanged whatever their
+    names.  No row goes.  A null text stays null with 0 lines; a text that
     loses all its lines is empty; a null site is one site; rows alike in id
     and text are treated alike.  Empty input gives an empty result.
     """
-    bounded_batches(docs.sparkSession)
-    lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    spread = materialise(boilerplate_lines(lines, min_sites, context_share, texts if copies_once else None))
-    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
-    cut = lines.join(spread, "line").where(~here).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut_lines"))
-    cut = cut.withColumnsRenamed({"id": "cut_id", "text_hash": "cut_hash"})
-
-    @F.pandas_udf("string")
-    def without(text, places):
-        import pandas as pd
-
-        def one(t, p):
-            gone = set(p)
-            return "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone)
-
-        return pd.Series([one(t, p) for t, p in zip(text, places)])
-
-    text = F.col(text_col)
-    j = docs.join(cut, docs[id_col].eqNullSafe(F.col("cut_id")) & (F.xxhash64(text) == F.col("cut_hash")), "left")
-    n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n")))
-    changed = j.where("cut_lines IS NOT NULL").withColumn("n_lines", n_lines).withColumn("n_removed", F.size("cut_lines"))
-    changed = changed.withColumn(text_col, without(text, F.col("cut_lines")))
-    same = j.where("cut_lines IS NULL").withColumn("n_lines", n_lines).withColumn("n_removed", F.lit(0))
-    return same.unionByName(changed).drop("cut_id", "cut_hash", "cut_lines")
+    out = _cut(docs, min_sites, min_words, context_share, id_col, text_col, site_col, copies_once)
+    columns = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return out.select(*columns, "n_lines", "n_removed")
+
+
+def without_boilerplate(docs: DataFrame, length_col: str | None = None, text_col: str = "text", **params) -> DataFrame:
+    """``docs`` after the cuts of ``remove_boilerplate``, with its columns as
+    they are; ``length_col``, if there is one, holds the length of the text in
+    characters and follows it where lines go."""
+    out = _cut(docs, **{"min_sites": MIN_SITES, "min_words": MIN_WORDS, "context_share": CONTEXT_SHARE, "id_col": "doc_id", "site_col": "source",
+                        "copies_once": False, **params}, text_col=text_col)
+    columns = []
+    for c in docs.columns:
+        value = F.col("row").getField(c)
+        if c == text_col:
+            value = F.col("text")
+        elif c == length_col:
+            value = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return out.select(*columns)

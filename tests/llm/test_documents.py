@@ -178,3 +178,20 @@ def test_stage_cuts_a_footer_that_a_much_copied_document_carries(spark):
     got = {r["doc_id"]: r["text"] for r in line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()}
     assert [k for k, t in sorted(got.items()) if foot in t] == [0]
     assert all(got[k] == t.removesuffix("\n" + foot) for k, t, _ in rows if k)  # nothing else goes
+
+
+def test_columns_of_any_name_pass_the_line_stage(spark):
+    foot = "Visit our other pages for more offers today"
+    rows = [(k, f"own words of page {k} here\n{foot}\nthe end of page {k}", f"src{k}") for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+        "*", "cast(length(text) AS int) AS n_chars", "777 AS n_removed", "'a' AS cut_id", "'b' AS cut_hash", "'c' AS cut_lines", "'d' AS row", "778 AS n_lines", "'e' AS id")
+    out = line_dedup(spark, df, "")
+    assert out.columns == df.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    for k, text, _ in rows:
+        want = text if k == 0 else text.replace(foot + "\n", "")
+        r = got[k]
+        assert (r["text"], r["n_chars"], r["n_removed"], r["n_lines"]) == (want, len(want), 777, 778)
+        assert [r[c] for c in ("cut_id", "cut_hash", "cut_lines", "row", "id")] == list("abcde")
+    wide = remove_boilerplate(df)
+    assert {r["n_removed"] for r in wide.collect()} == {0, 1} and wide.columns.count("n_removed") == 1
