@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepcurve.llm.common import materialise, remainder, table
-from keepcurve.llm.line_dedup import remove_boilerplate
+from keepcurve.llm.line_dedup import without_boilerplate
 from keepcurve.llm.mixing import mixed_documents
 from keepcurve.llm.packing import pack_documents
 from keepcurve.llm.queries import tokenizer_path
@@ -32,11 +32,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go from all documents but their first; no document goes."""
-    out = remove_boilerplate(docs, copies_once=True)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    return without_boilerplate(docs, length_col="n_chars", copies_once=True)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
