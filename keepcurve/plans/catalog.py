@@ -6,6 +6,7 @@ from keepcurve.plans import (  # noqa: F401
     catalog_fits,
     catalog_models,
     catalog_sinks,
+    catalog_sketches,
     catalog_survival,
     catalog_uplift,
 )
