@@ -9,6 +9,8 @@ recency churn score ``s``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ from keepcurve.plans.catalog_eval import H
 from keepcurve.plans.catalog_features import snapshot, snapshots, with_both
 from keepcurve.plans.catalog_survival import LIFE_SQL, RECENCY_HALF_LIFE, churn_score, ltv_table
 from keepcurve.plans.registry import query
-from keepcurve.session import cut_lineage
+from keepcurve.session import cut_lineage, ensure_checkpoint_dir
+from keepcurve.sources.model_registry import ModelRegistry
 
 SEED = co.RANDOM_SEED
 HOLDOUT = 0.3
@@ -331,3 +334,19 @@ SELECT 1, n_pos, round(CASE WHEN n_pos > 0 THEN n / (2.0 * n_pos) END, 6), round
 def q_class_weights(spark, sf_dir):
     """Balanced class weights and scale_pos_weight, period1."""
     return pr.class_weights(snapshot(spark, sf_dir, "period1").select(F.col("is_churn").alias("label")), "label")
+
+
+@query("registry_store", MODELS_SQL + f""",
+g AS (SELECT c.pr_auc >= h.pr_auc - {pm.PROMOTION_TOLERANCE} AS promoted, c.pr_auc AS cv, h.pr_auc AS hv
+      FROM ap c, ap h WHERE c.model = 'frequency' AND h.model = 'recency')
+SELECT 'churn-classifier' AS model, 1 AS version, CASE WHEN promoted THEN NULL ELSE 'champion' END AS alias, 'pr_auc' AS metric, round(hv, 6) AS value FROM g
+UNION ALL SELECT 'churn-classifier', 2, CASE WHEN promoted THEN 'champion' END, 'pr_auc', round(cv, 6) FROM g""")
+def q_registry_store(spark, sf_dir):
+    """G1 + G3: version 1 logged and promoted, version 2 gated against it, in a
+    stored registry that is opened and read again."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/registry-{uuid.uuid4().hex}"
+    candidate, first = _candidate_and_registry(spark, sf_dir)
+    registry = ModelRegistry(spark, path)
+    registry.gate(first.drop("alias"))
+    registry.gate(candidate)
+    return ModelRegistry(spark, path).table()
