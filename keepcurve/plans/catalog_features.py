@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keepcurve.operators import features as fe
+from keepcurve.operators import log_states as ls
 from keepcurve.plans.oracle_sql import (
     log_daily_sql,
     log_features_sql,
@@ -17,6 +20,7 @@ from keepcurve.plans.oracle_sql import (
 )
 from keepcurve.plans.registry import query
 from keepcurve.sources import raw
+from keepcurve.session import ensure_checkpoint_dir
 from keepcurve.sources import testdata as td
 
 C1, C2 = td.CUTOFFS["period1"], td.CUTOFFS["period2"]
@@ -202,3 +206,19 @@ def q_churn_rate_by_period(spark, sf_dir):
     return s.groupBy("period").agg(F.count(F.lit(1)).alias("n_members"),
                                    F.sum("is_churn").cast("long").alias("n_churn"),
                                    F.avg("is_churn").alias("churn_rate"))
+
+
+STATE_CUTOFFS = {"period1": C1, "between": "1999-12-31", "period2": C2}
+
+
+@query("log_features_from_state", "WITH " + td.role_sql() + "".join(
+    f",\nlog_daily_{k} AS ({log_daily_sql(c, 'logs_all', None)}), log_f_{k} AS ({log_features_sql(f'log_daily_{k}', rounded=True)})"
+    for k, c in enumerate(STATE_CUTOFFS.values())) + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{p}' AS period, * FROM log_f_{k}" for k, p in enumerate(STATE_CUTOFFS)))
+def q_log_features_from_state(spark, sf_dir):
+    """Log features at three cutoffs from the stored states of
+    two deliveries, written and read again."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/log_state-{uuid.uuid4().hex}"
+    for name, part in zip(("v1", "v2"), td.log_deliveries(spark, sf_dir)):
+        ls.write_log_state(part, path, name)
+    return ls.log_features_from_state(ls.read_log_state(spark, path), STATE_CUTOFFS)

@@ -95,6 +95,21 @@ def q_qini_curve(spark, sf_dir):
     return up.qini_curve(holdout(spark, sf_dir), "predicted_uplift", "msno")
 
 
+THIN_POINTS = 50
+
+
+@query("qini_curve_thinned", EXP_SQL + qini_sql("ho", "predicted_uplift") + f""",
+th AS (SELECT rn, population_fraction AS x, qini AS y, floor((rn - 1) * {THIN_POINTS}::DOUBLE / n) AS step FROM qq),
+kp AS (SELECT rn, x, y, step, lead(rn) OVER (ORDER BY rn) AS rn1, lead(x) OVER (ORDER BY rn) AS x1, lead(y) OVER (ORDER BY rn) AS y1
+  FROM (SELECT * FROM th QUALIFY row_number() OVER (PARTITION BY step ORDER BY rn) = 1 OR rn = (SELECT max(rn) FROM th))),
+er AS (SELECT kp.rn, max(abs(th.y - (kp.y + (th.x - kp.x) / (kp.x1 - kp.x) * (kp.y1 - kp.y)))) AS e FROM kp JOIN th ON th.rn BETWEEN kp.rn AND kp.rn1 GROUP BY kp.rn)
+SELECT rn, round(x, 6) AS population_fraction, round(y, 6) AS qini, round(coalesce(e, 0), 6) AS max_error FROM kp LEFT JOIN er USING (rn)""")
+def q_qini_curve_thinned(spark, sf_dir):
+    """50 evenly spaced points of the Qini curve and how far it strays from the lines between them."""
+    curve = cut_lineage(up.qini_curve(holdout(spark, sf_dir), "predicted_uplift", "msno"))
+    return up.thin_curve(curve, THIN_POINTS)
+
+
 @query("qini_coefficient", EXP_SQL + qini_sql("ho", "predicted_uplift") +
        f"\nSELECT round({QCOEF}, 6) AS qini_coefficient, round(last, 6) AS qini_at_full FROM qa")
 def q_qini_coefficient(spark, sf_dir):
