@@ -43,6 +43,14 @@ def survival_frame(snapshots: DataFrame, duration: str = "tenure_days") -> DataF
     return snapshots.where(F.col(duration).isNotNull() & (F.col(duration) > 0))
 
 
+def survival_drops(snapshots: DataFrame, duration: str = "tenure_days", partition_cols: Sequence[str] = ("period",)) -> DataFrame:
+    """Rows kept, and rows that ``survival_frame`` drops because the
+    duration is null or not positive, per group."""
+    d = F.col(duration)
+    return snapshots.groupBy(*partition_cols).agg(F.count_if(d > 0).alias("n_kept"), F.count_if(d.isNull()).alias("n_null"),
+                                                  F.count_if(d <= 0).alias("n_not_positive"))
+
+
 def kaplan_meier(df: DataFrame, duration: str = "tenure_days", event: str = "is_churn",
                  partition_cols: Sequence[str] = (), z: float = Z_95) -> DataFrame:
     """K1/K2: product-limit curve at every distinct duration (per stratum).

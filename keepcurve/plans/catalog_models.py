@@ -244,14 +244,19 @@ def q_retention_pipeline(spark, sf_dir):
     experiment = co.stratified_split(co.ab_assignment(p2, "msno", SEED), "msno", "treatment", HOLDOUT, SEED, names=("train", "test"))
     train = experiment.where(F.col("split") == "train").withColumn("observed_retained", 1 - F.col("is_churn"))
     mo.save_t_learner(spark, mo.fit_t_learner(train, FILL_FEATURES, "treatment", "observed_retained"), f"{at}/uplift")
-    s, x = _cox_input(spark, sf_dir, [*FILL_FEATURES, "last_actual_amount_paid", "last_payment_plan_days"])
+    s = surv(spark, sf_dir, dict.fromkeys(["msno", "period", "tenure_days", "is_churn", *sv.COX_COVARIATES, *FILL_FEATURES,
+                                           "last_actual_amount_paid", "last_payment_plan_days"]))
+    duration = ["msno", "period", "tenure_days", "is_churn"]
+    prepared = cut_lineage(sv.cox_prep_fit(s))
+    x = cut_lineage(sv.cox_prep_transform(s, sv.collect_stats(prepared), keep=duration))
     fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)
-    store.write_table(cox.cox_summary(spark, fit), f"{at}/cox")
+    theta = cut_lineage(sv.partial_hazard(x, dict(zip(fit["covariates"], fit["coef"])), None, "theta"))
+    cox.save_cox(spark, f"{at}/cox", cox.cox_summary(spark, fit), prepared, sv.breslow_baseline(theta, "tenure_days", "is_churn", "theta"))
 
     champion, uplift = bo.load_boosted(spark, f"{at}/champion"), mo.load_t_learner(spark, f"{at}/uplift")
-    coefs = {r["covariate"]: r["coef"] for r in spark.read.parquet(f"{at}/cox").collect()}
-    hazard = cut_lineage(sv.partial_hazard(x, coefs, None, "theta"))
-    base = sv.breslow_baseline(hazard, "tenure_days", "is_churn", "theta")
+    bundle = cox.load_cox(spark, f"{at}/cox")
+    hazard = cut_lineage(sv.partial_hazard(sv.cox_prep_transform(s, bundle["stats"], keep=duration), bundle["coef"], None, "theta"))
+    base = bundle["baseline"]
     keys = ["msno", "period"]
     life = lt.expected_remaining_life(hazard.select(*keys, "tenure_days", "theta"), base, "tenure_days", "theta")
     money = s.select(*keys, "last_actual_amount_paid", "last_payment_plan_days")

@@ -86,6 +86,14 @@ def q_survival_frame(spark, sf_dir):
     return surv(spark, sf_dir, ["msno", "period", "tenure_days", "is_churn"])
 
 
+@query("survival_dropped", with_both() + """
+SELECT period, count(*) FILTER (WHERE tenure_days > 0) AS n_kept, count(*) FILTER (WHERE tenure_days IS NULL) AS n_null,
+       count(*) FILTER (WHERE tenure_days <= 0) AS n_not_positive FROM (SELECT * FROM snap1 UNION ALL SELECT * FROM snap2) GROUP BY period""")
+def q_survival_dropped(spark, sf_dir):
+    """How many rows the survival frame keeps and drops, per period."""
+    return sv.survival_drops(snapshots(spark, sf_dir))
+
+
 @query("km_curve", SURV_SQL + km_sql() + "\n" + KM_SELECT.format(s="", z=sv.Z_95))
 def q_km_curve(spark, sf_dir):
     """K1: Kaplan-Meier curve with Greenwood log(-log) band."""

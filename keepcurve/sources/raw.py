@@ -9,24 +9,48 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from keepcurve.session import cut_lineage
 from keepcurve.sources import schemas
 
 
-def _read_csv(spark: SparkSession, paths: str | Sequence[str], schema) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def _read_csv(spark: SparkSession, paths: str | Sequence[str], schema, quarantine: str | None = None) -> DataFrame:
+    """Rows of the declared schema.  Without ``quarantine`` fields that do not
+    parse are null, as in the original.  With it, rows that do not parse
+    (wrong number of fields, a field of another type) go to the Parquet table
+    of that path with their file, and only whole rows are returned, written
+    once so that every consumer sees the same rows whatever it selects."""
     if isinstance(paths, str):
         paths = [paths]
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(list(paths))
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if quarantine is None:
+        return reader.schema(schema).csv(list(paths))
+    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = reader.schema(marked).option("columnNameOfCorruptRecord", CORRUPT).csv(list(paths))
+    bad = rows.where(F.col(CORRUPT).isNotNull())
+    # a field that nobody reads is not parsed, so all are: what did parse is kept beside the record
+    bad.select(F.col(CORRUPT).alias("record"), F.input_file_name().alias("file"), *schema.fieldNames()).write.mode("append").parquet(quarantine)
+    return cut_lineage(rows).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
+    """Records put aside, per file: ``(file, n)``."""
+    return spark.read.parquet(quarantine).select("file").groupBy("file").agg(F.count("*").alias("n"))
 
 
-def load_labels(spark: SparkSession, path: str) -> DataFrame:
+def load_labels(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Label file of one period (``msno, is_churn``)."""
-    return _read_csv(spark, path, schemas.LABELS)
+    return _read_csv(spark, path, schemas.LABELS, quarantine)
 
 
-def load_members(spark: SparkSession, path: str) -> DataFrame:
+def load_members(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Static member table."""
-    return _read_csv(spark, path, schemas.MEMBERS)
+    return _read_csv(spark, path, schemas.MEMBERS, quarantine)
 
 
 def union_deliveries(parts: Sequence[DataFrame], dedup: bool) -> DataFrame:
@@ -42,15 +66,15 @@ def union_deliveries(parts: Sequence[DataFrame], dedup: bool) -> DataFrame:
     return out.dropDuplicates() if dedup else out
 
 
-def load_transactions(spark: SparkSession, paths: Sequence[str], dedup: bool = True) -> DataFrame:
+def load_transactions(spark: SparkSession, paths: Sequence[str], dedup: bool = True, quarantine: str | None = None) -> DataFrame:
     """S3: transactions; later deliveries overlap earlier ones, so dedup.
 
     The default dedups every period (the original only deduplicated when a
     second file was present, so duplicates inside one file counted twice).
     """
-    return union_deliveries([_read_csv(spark, p, schemas.TRANSACTIONS) for p in paths], dedup)
+    return union_deliveries([_read_csv(spark, p, schemas.TRANSACTIONS, quarantine) for p in paths], dedup)
 
 
-def load_user_logs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def load_user_logs(spark: SparkSession, paths: Sequence[str], quarantine: str | None = None) -> DataFrame:
     """Activity logs; deliveries cover disjoint dates, so no dedup."""
-    return union_deliveries([_read_csv(spark, p, schemas.USER_LOGS) for p in paths], dedup=False)
+    return union_deliveries([_read_csv(spark, p, schemas.USER_LOGS, quarantine) for p in paths], dedup=False)

@@ -62,3 +62,17 @@ def test_report_csv_sink(spark, tmp_path):
     back = spark.read.option("header", True).schema("feature string, psi double, status string").csv(path)
     assert back.collect()[0]["psi"] == 0.12
     assert back.where(F.col("status") == "moderate drift").count() == 1
+
+
+def test_bad_records_go_to_quarantine(spark, tmp_path):
+    header = "msno,date,num_25,num_50,num_75,num_985,num_100,num_unq,total_secs"
+    good = [("a", 20170110, 1, 0, 0, 0, 3, 2, 100.5), ("b", 20170111, None, 0, 0, 0, 3, 2, 7)]
+    f1 = _csv(tmp_path / "l1.csv", header, [*good, ("c", "not a date", 1, 0, 0, 0, 1, 1, 5)])
+    f2 = _csv(tmp_path / "l2.csv", header, [("d", 20170112, 1, 0), ("e", 20170113, 1, 0, 0, 0, 1, 1, 5.0)])
+    aside = str(tmp_path / "aside")
+    logs = raw.load_user_logs(spark, [f1, f2], quarantine=aside)
+    assert sorted(r["msno"] for r in logs.collect()) == ["a", "b", "e"]
+    assert logs.columns == header.split(",")
+    assert {r["file"].rsplit("/", 1)[-1]: r["n"] for r in raw.quarantined(spark, aside).collect()} == {"l1.csv": 1, "l2.csv": 1}
+    assert sorted(r["record"][0] for r in spark.read.parquet(aside).collect()) == ["c", "d"]
+    assert raw.load_user_logs(spark, [f1, f2]).count() == 5  # as before: fields that do not parse are null

@@ -143,3 +143,22 @@ def test_efron_sums_in_closed_form_equal_the_loop():
             assert np.allclose(got, want, rtol=1e-10, atol=1e-12), (d, share, got / want - 1)
     huge = efron_sums([1e9], [3e9], [1e9])[:, 0]  # as an integral: sums over 10^9 events cost the same
     assert np.allclose(huge[0], np.log(1.5), rtol=1e-8)
+
+
+def test_a_stored_cox_model_scores_new_rows(spark, tmp_path):
+    from keepcurve.operators import cox
+    from keepcurve.operators import survival as sv
+
+    rows = [(k, 1 + k * 7 % 40, int(k % 3 == 0), float(k % 5) if k % 4 else None, float(k % 2)) for k in range(200)]
+    df = spark.createDataFrame(rows, "key long, t int, e int, a double, b double")
+    prep = sv.cox_prep_fit(df, ["a", "b"], binary=["b"], clip={})
+    x = sv.cox_prep_transform(df, sv.collect_stats(prep), clip={}, keep=["key", "t", "e"]).cache()
+    fit = cox.cox_fit(x, "t", "e", ["a", "b"])
+    theta = sv.partial_hazard(x, dict(zip(fit["covariates"], fit["coef"])), None, "theta")
+    base = sv.breslow_baseline(theta, "t", "e", "theta")
+    cox.save_cox(spark, str(tmp_path / "cox"), cox.cox_summary(spark, fit), prep, base)
+    back = cox.load_cox(spark, str(tmp_path / "cox"))
+    again = sv.partial_hazard(sv.cox_prep_transform(df, back["stats"], clip={}, keep=["key"]), back["coef"], None, "theta")
+    want = {r["key"]: r["theta"] for r in theta.collect()}
+    assert {r["key"]: r["theta"] for r in again.collect()} == want
+    assert sorted(map(tuple, back["baseline"].collect())) == sorted(map(tuple, base.collect()))
