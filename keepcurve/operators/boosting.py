@@ -54,6 +54,9 @@ class BoostParams:
     seed: int = 42
 
 
+DEFAULTS = BoostParams()
+
+
 @dataclass
 class Tree:
     """Node k's children are 2k + 1 and 2k + 2."""
@@ -313,7 +316,7 @@ def fit_boosted(train: DataFrame, features: Sequence[str], label: str, key: str,
     """
     import numpy as np
 
-    params = params or BoostParams()
+    params = params or DEFAULTS
     features = list(features)
     p = len(features)
     cuts = {c: list(v) for c, v in (cuts or quantile_cuts(train, features)).items()}

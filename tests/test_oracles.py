@@ -55,8 +55,10 @@ FITTED = sorted(set(E.queries()) - set(ORACLES) - {n for n in E.queries() if n.s
 @pytest.mark.parametrize("name", FITTED)
 def test_fitted_query_runs(spark, monkeypatch, name):
     """Fits have no SQL; they run whole, with fewer trees to save time."""
+    from keepcurve.operators import boosting as bo
     from keepcurve.operators import models as mo
 
+    monkeypatch.setattr(bo, "DEFAULTS", bo.BoostParams(trees=4))
     monkeypatch.setitem(mo.GBT_PARAMS, "maxIter", 8)
     monkeypatch.setitem(mo.UPLIFT_GBT_PARAMS, "maxIter", 4)
     rows = E.queries()[name](spark, SF_SMALL).collect()
