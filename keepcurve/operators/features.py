@@ -8,12 +8,13 @@ aggregate (leakage guard, inclusive ``<=``); a window of d days covers ages
 0 to d.
 
 Plan shape (per source table):
-  * transactions: an aggregate per (member, list price) and one per member
-    above it.  Counts and sums add up, the number of price groups seen in the
-    window is the number of distinct plans, and the latest row's fields come
-    from ``max_by`` with a decimal order key (date, then id).  All buffers are
-    fixed-width, so both are hash aggregates with a map-side partial; no
-    Expand, no window that sorts a hot member's rows in one task.
+  * transactions: one member aggregate; the latest row's fields come from
+    ``max_by`` with a decimal order key (date, then id).  Distinct plans are
+    the distinct (member, list price) pairs of the window's rows alone, two
+    columns wide, which enter that aggregate as rows of their own, so wide rows
+    meet one shuffle and no join.  All buffers are fixed-width, so both are
+    hash aggregates with a map-side partial; no Expand, no window that sorts a
+    hot member's rows in one task.
   * logs: one member aggregate over the raw rows.  Days with activity are bits
     of a few longs (``bit_or``), counted per window with a mask, so days are
     distinct without a shuffle by day.
@@ -161,9 +162,8 @@ def _recency(t: DataFrame, tie_break: str | None) -> Column:
 
 def _windowed_tx(windows: Sequence[int]) -> list[Feature]:
     return [*(Feature(f"n_transactions_last_{d}d", "count", ages=(0, d)) for d in windows),
-            Feature("_plan_rows", "count", ages=(0, DISTINCT_PLAN_WINDOW_DAYS)),
             Feature("n_cancellations_lifetime", "sum", "cancelled"),
-            Feature("n_transactions_lifetime", "count"),
+            Feature("n_transactions_lifetime", "count", "_row"),
             Feature("_discount", "sum", "discount"), Feature("_discounts", "count", "discount")]
 
 
@@ -174,19 +174,17 @@ def _latest(t: DataFrame, keys: Sequence[str], tie_break: str | None) -> DataFra
 
 def _tx_member_aggregate(t: DataFrame, keys: Sequence[str], windows: Sequence[int], tie_break: str | None,
                          latest: bool) -> DataFrame:
-    """Per (member, list price) first, then per member."""
-    features = _windowed_tx(windows)
-    t = t.withColumn("_recency", _recency(t, tie_break) if latest else F.lit(0))
-    fields = [f for f in LATEST_COLUMNS if f != "plan_list_price"] if latest else []
-    by_plan = t.groupBy(*keys, "plan_list_price").agg(
-        *aggregates(features), F.max("_recency").alias("_latest"),
-        *[F.max_by(c, "_recency").alias(f"_last_{c}") for c in fields])
-    by_plan = by_plan.withColumn("_last_plan_list_price", F.col("plan_list_price"))
-    state = [F.max_by(f"_last_{c}", "_latest").alias(n) for c, n in LATEST_COLUMNS.items()] if latest else []
-    totals = [F.sum(f.name).alias(f.name) for f in features if f.name != "_plan_rows"]
-    plans = F.count_if((F.col("_plan_rows") > 0) & F.col("plan_list_price").isNotNull())
+    """One aggregate per member over the transactions and, below them, a row
+    for each of the member's list prices inside the plan window."""
+    state = []
+    if latest:
+        t = t.withColumn("_recency", _recency(t, tie_break))
+        state = [F.max_by(c, "_recency").alias(n) for c, n in LATEST_COLUMNS.items()]
     distinct = f"n_distinct_plans_last_{DISTINCT_PLAN_WINDOW_DAYS}d"
-    out = by_plan.groupBy(*keys).agg(*state, *totals, plans.alias(distinct))
+    inside = F.col(AGE).between(0, DISTINCT_PLAN_WINDOW_DAYS) & F.col("plan_list_price").isNotNull()
+    plans = t.where(inside).select(*keys, "plan_list_price").distinct().select(*keys, F.lit(1).alias("_plan"))
+    rows = t.withColumn("_row", F.lit(1)).unionByName(plans, allowMissingColumns=True)
+    out = rows.groupBy(*keys).agg(*state, *aggregates(_windowed_tx(windows)), F.count("_plan").alias(distinct))
     names = [n for n in LATEST_COLUMNS.values() if latest] + [f"n_transactions_last_{d}d" for d in windows]
     mean = F.when(F.col("_discounts") > 0, F.col("_discount") / F.col("_discounts"))
     return out.select(*keys, *names, distinct, "n_cancellations_lifetime", "n_transactions_lifetime",

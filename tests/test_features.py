@@ -148,3 +148,17 @@ def test_cohort_rows_go_before_the_aggregate(spark):
     top = plan.index("Join LeftSemi")
     assert top < plan.index("Aggregate") < plan.index("Join Inner", top)  # exact join, aggregate, bitmap below it
     assert {r["msno"] for r in fe.user_log_features(logs, CUTOFF, cohort=cohort).select("msno").collect()} == {str(4 * k) for k in range(500)}
+
+
+def test_distinct_plans_count_prices_inside_the_window_only(spark):
+    def row(who, price, back, k):
+        return (who, 30, 30, price, 90, 0, ymd(back), 20170301, 0, k)
+
+    rows = [row("a", p, back, k) for k, (p, back) in enumerate([(100, 0), (100, 180), (150, 180), (200, 181), (None, 3), (300, -1)])]
+    rows += [row("b", 100, 181, 50), row("c", None, 2, 51), row(None, 100, 5, 52), row(None, 120, 6, 53)]
+    df = spark.createDataFrame(rows, TX)
+    for f in (fe.transaction_features, fe.transaction_window_features):
+        got = {r["msno"]: (r["n_distinct_plans_last_180d"], r["n_transactions_lifetime"]) for r in f(df, CUTOFF).collect()}
+        assert got == {"a": (2, 5), "b": (0, 1), "c": (0, 1), None: (2, 2)}
+    plan = fe.transaction_features(df, CUTOFF)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Join" not in plan and "SortAggregate" not in plan
