@@ -174,17 +174,25 @@ def _latest(t: DataFrame, keys: Sequence[str], tie_break: str | None) -> DataFra
 
 def _tx_member_aggregate(t: DataFrame, keys: Sequence[str], windows: Sequence[int], tie_break: str | None,
                          latest: bool) -> DataFrame:
-    """One aggregate per member over the transactions and, below them, a row
-    for each of the member's list prices inside the plan window."""
+    return _tx_totals(t.withColumn("_row", F.lit(1)), _plans_in_window(t, keys), keys, windows, _windowed_tx(windows), tie_break, latest)
+
+
+def _plans_in_window(t: DataFrame, keys: Sequence[str]) -> DataFrame:
+    inside = F.col(AGE).between(0, DISTINCT_PLAN_WINDOW_DAYS) & F.col("plan_list_price").isNotNull()
+    return t.where(inside).select(*keys, "plan_list_price").distinct()
+
+
+def _tx_totals(rows: DataFrame, plans: DataFrame, keys: Sequence[str], windows: Sequence[int], features: Sequence[Feature],
+               tie_break: str | None, latest: bool) -> DataFrame:
+    """One aggregate per member over its transactions (or states of them) and,
+    below them, a row for each of the member's list prices in the plan window."""
     state = []
     if latest:
-        t = t.withColumn("_recency", _recency(t, tie_break))
+        rows = rows.withColumn("_recency", _recency(rows, tie_break))
         state = [F.max_by(c, "_recency").alias(n) for c, n in LATEST_COLUMNS.items()]
     distinct = f"n_distinct_plans_last_{DISTINCT_PLAN_WINDOW_DAYS}d"
-    inside = F.col(AGE).between(0, DISTINCT_PLAN_WINDOW_DAYS) & F.col("plan_list_price").isNotNull()
-    plans = t.where(inside).select(*keys, "plan_list_price").distinct().select(*keys, F.lit(1).alias("_plan"))
-    rows = t.withColumn("_row", F.lit(1)).unionByName(plans, allowMissingColumns=True)
-    out = rows.groupBy(*keys).agg(*state, *aggregates(_windowed_tx(windows)), F.count("_plan").alias(distinct))
+    both = rows.unionByName(plans.select(*keys, F.lit(1).alias("_plan")), allowMissingColumns=True)
+    out = both.groupBy(*keys).agg(*state, *aggregates(features), F.count("_plan").alias(distinct))
     names = [n for n in LATEST_COLUMNS.values() if latest] + [f"n_transactions_last_{d}d" for d in windows]
     mean = F.when(F.col("_discounts") > 0, F.col("_discount") / F.col("_discounts"))
     return out.select(*keys, *names, distinct, "n_cancellations_lifetime", "n_transactions_lifetime",

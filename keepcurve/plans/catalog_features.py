@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keepcurve.operators import features as fe
 from keepcurve.operators import log_states as ls
+from keepcurve.operators import tx_states as ts
 from keepcurve.plans.oracle_sql import (
     log_daily_sql,
     log_features_sql,
@@ -222,3 +223,43 @@ def q_log_features_from_state(spark, sf_dir):
     for name, part in zip(("v1", "v2"), td.log_deliveries(spark, sf_dir)):
         ls.write_log_state(part, path, name)
     return ls.log_features_from_state(ls.read_log_state(spark, path), STATE_CUTOFFS)
+
+
+def _tx_state(spark, sf_dir) -> ts.TxState:
+    """The stored states of two overlapping deliveries, read again."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/tx_state-{uuid.uuid4().hex}"
+    v1, v2 = td.transaction_deliveries(spark, sf_dir)
+    ts.write_tx_state(v1, path, "v1")
+    ts.write_tx_state(v2, path, "v2", earlier=["v1"])
+    return ts.read_tx_state(spark, path, ["v1", "v2"])
+
+
+def _tx_at(k: int, cutoff: str) -> str:
+    return f",\ntx_asof_{k} AS ({tx_asof_sql(cutoff, 'tx_dedup')})"
+
+
+TX_DEDUP = "WITH " + td.role_sql() + ",\ntx_dedup AS (SELECT DISTINCT * FROM (SELECT * FROM tx_v1 UNION ALL SELECT * FROM tx_v2))" + "".join(
+    _tx_at(k, c) for k, c in enumerate(STATE_CUTOFFS.values()))
+
+
+@query("tx_features_from_state", TX_DEDUP + "".join(
+    f",\ntx_latest_{k} AS ({tx_latest_sql(c, f'tx_asof_{k}')}), tx_win_{k} AS ({tx_window_sql(f'tx_asof_{k}', rounded=True)})"
+    for k, c in enumerate(STATE_CUTOFFS.values())) + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{p}' AS period, * FROM tx_latest_{k} JOIN tx_win_{k} USING (msno)" for k, p in enumerate(STATE_CUTOFFS)))
+def q_tx_features_from_state(spark, sf_dir):
+    """Transaction features at three cutoffs from
+    the stored states of two overlapping deliveries."""
+    out = ts.tx_features_from_state(_tx_state(spark, sf_dir), STATE_CUTOFFS)
+    return out.withColumn("avg_discount_lifetime", F.round("avg_discount_lifetime", 6))
+
+
+def _plan_counts(k: int, period: str) -> str:
+    counts = ", ".join(f"count(DISTINCT CASE WHEN days_before_cutoff <= {d} THEN plan_list_price END) AS n_distinct_plans_last_{d}d" for d in W)
+    return f"SELECT '{period}' AS period, msno, {counts} FROM tx_asof_{k} WHERE plan_list_price IS NOT NULL GROUP BY msno"
+
+
+@query("distinct_plans_sketch", TX_DEDUP + "\n" + "\nUNION ALL ".join(_plan_counts(k, p) for k, p in enumerate(STATE_CUTOFFS)))
+def q_distinct_plans_sketch(spark, sf_dir):
+    """A4, approximate: distinct plans of every window from merged sketches;
+    a member's few plans at the test scale are counted exactly."""
+    return ts.distinct_plans_estimate(_tx_state(spark, sf_dir), STATE_CUTOFFS)
