@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepcurve.llm.common import bounded_batches, connected_components, materialise, word_count
 
 MIN_SITES = 5
+# A line counts if it has this many words or, as in scripts that write none apart, characters.
 MIN_WORDS = 3
+MIN_CHARS = 16
+BLANKS = " \t\n\x0b\x0c\r"
+# With copies counted once (the pipeline's stage) also this share of a line's documents must have surroundings of their own.
 CONTEXT_SHARE = 0.5
 SKETCH_LG_K = 12
 # An estimate this close to a bound (relative, and at least 1) is counted exactly; three standard errors are 5 %.
@@ -18,19 +22,24 @@ COPY_SHARE = 0.7
 BANDS, BAND = 32, 4
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int) -> DataFrame:
-    """A row per line of ``min_words`` words: ``(id, text_hash, doc, site, pos,
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_words: int, min_chars: int) -> DataFrame:
+    """A row per line of ``min_words`` words or ``min_chars`` characters: ``(id, text_hash, doc, site, pos,
     line, context, other)``.  ``line`` is the md5 of the line without blanks
     around it, ``context`` a hash of the lines before and after, ``other`` one
     of the document's smallest line digest (a MinHash of its lines)."""
     d = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.xxhash64(F.col(site_col)).alias("site"),
         F.split(F.col(text_col), "\n").alias("lines"))
-    d = d.withColumn("digests", F.transform("lines", lambda x: F.md5(F.trim(x))))
+    d = d.withColumn("digests", F.transform("lines", lambda x: F.md5(_bare(x))))
     d = d.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc"), "site", "digests",
                  F.xxhash64(F.array_min("digests")).alias("other"), F.posexplode("lines").alias("pos", "body"))
     context = F.xxhash64(F.get("digests", F.col("pos") - 1), F.get("digests", F.col("pos") + 1))
-    return d.where(word_count(F.col("body")) >= min_words).select("id", "text_hash", "doc", "site", "pos", F.get("digests", "pos").alias("line"), context.alias("context"), "other")
+    long_enough = (word_count(F.col("body")) >= min_words) | (F.length(_bare(F.col("body"))) >= min_chars)
+    return d.where(long_enough).select("id", "text_hash", "doc", "site", "pos", F.get("digests", "pos").alias("line"), context.alias("context"), "other")
 
 
 def copy_groups(texts: DataFrame) -> DataFrame:
@@ -64,9 +73,10 @@ def copy_groups(texts: DataFrame) -> DataFrame:
     return sketches.join(found, sketches["text_hash"] == found["node"], "left").select("text_hash", F.coalesce("component", "text_hash").alias("group"))
 
 
-def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_share: float = CONTEXT_SHARE, texts: DataFrame | None = None) -> DataFrame:
+def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_share: float = 0.0, texts: DataFrame | None = None) -> DataFrame:
     """Lines spread over ``min_sites`` or more distinct sites in as many
-    distinct surroundings, at least ``context_share`` of their documents':
+    distinct surroundings (copies of one surrounding count once), or, if
+    ``context_share`` is given, that share of their documents if it is more:
     ``(line, first)`` with the line's first place.  Surroundings differ in the
     neighbouring lines or, for the inner lines of a passage, which always has
     the same neighbours, in the documents' MinHash values, which copies of one
@@ -115,12 +125,12 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, context_shar
     return found.unionByName(s.join(spread.select("line"), "line").select("line", "first"))
 
 
-def _cut(docs: DataFrame, min_sites: int, min_words: int, context_share: float, id_col: str, text_col: str, site_col: str,
+def _cut(docs: DataFrame, min_sites: int, min_words: int, min_chars: int, context_share: float, id_col: str, text_col: str, site_col: str,
          copies_once: bool) -> DataFrame:
     """``(row, text, n_lines, n_removed)``: each row of ``docs`` as a struct,
     whatever its columns are called, with its text after the cuts."""
     bounded_batches(docs.sparkSession)
-    lines = materialise(_lines(docs, id_col, text_col, site_col, min_words))
+    lines = materialise(_lines(docs, id_col, text_col, site_col, min_words, min_chars))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     spread = materialise(boilerplate_lines(lines, min_sites, context_share, texts if copies_once else None))
     here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("pos") == F.col("first.pos"))
@@ -135,15 +145,16 @@ def _cut(docs: DataFrame, min_sites: int, min_words: int, context_share: float,
                     F.when(text.isNull(), 0).otherwise(F.size(all_lines)).alias("n_lines"), F.coalesce(F.size("cut_lines"), F.lit(0)).alias("n_removed"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, context_share: float = CONTEXT_SHARE,
-                       id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", copies_once: bool = False) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS,
+                       context_share: float = 0.0, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", copies_once: bool = False) -> DataFrame:
     """``docs`` with every boilerplate line cut but for its first place.
 
-    A line (blanks at its ends ignored) of ``min_words`` or more words is
-    boilerplate when it stands on at least ``min_sites`` sites in that many
-    different surroundings (see ``boilerplate_lines``).  The lines of whole
-    documents copied from site to site keep their surroundings; those copies
-    are near duplicates, not boilerplate, and stay.  The place with the smallest (id, text hash,
+    A line (ASCII white space at its ends ignored) of ``min_words`` or more
+    words or ``min_chars`` or more characters is boilerplate when it stands on
+    at least ``min_sites`` sites in that many different surroundings (see
+    ``boilerplate_lines``), however many copies of one document hold it too.
+    The lines of whole documents copied from site to site keep their
+    surroundings; those copies are duplicates, not boilerplate, and stay.  The place with the smallest (id, text hash,
     position) keeps the line, so no text is lost altogether.  With ``copies_once``
     lines also go that stand in ``min_sites`` groups of copies on as many sites.
 
@@ -153,7 +164,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: i
     loses all its lines is empty; a null site is one site; rows alike in id
     and text are treated alike.  Empty input gives an empty result.
     """
-    out = _cut(docs, min_sites, min_words, context_share, id_col, text_col, site_col, copies_once)
+    out = _cut(docs, min_sites, min_words, min_chars, context_share, id_col, text_col, site_col, copies_once)
     columns = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     return out.select(*columns, "n_lines", "n_removed")
 
@@ -162,7 +173,7 @@ def without_boilerplate(docs: DataFrame, length_col: str | None = None, text_col
     """``docs`` after the cuts of ``remove_boilerplate``, with its columns as
     they are; ``length_col``, if there is one, holds the length of the text in
     characters and follows it where lines go."""
-    out = _cut(docs, **{"min_sites": MIN_SITES, "min_words": MIN_WORDS, "context_share": CONTEXT_SHARE, "id_col": "doc_id", "site_col": "source",
+    out = _cut(docs, **{"min_sites": MIN_SITES, "min_words": MIN_WORDS, "min_chars": MIN_CHARS, "context_share": CONTEXT_SHARE, "id_col": "doc_id", "site_col": "source",
                         "copies_once": False, **params}, text_col=text_col)
     columns = []
     for c in docs.columns:

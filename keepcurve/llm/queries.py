@@ -13,7 +13,7 @@ from keepcurve.llm.embedding_dedup import near_duplicate_vectors
 from keepcurve.llm.exact_dedup import exact_duplicates
 from keepcurve.llm.language_id import fit_languages, identify
 from keepcurve.llm.lexical_search import search
-from keepcurve.llm.line_dedup import CONTEXT_SHARE, MIN_SITES, MIN_WORDS, remove_boilerplate
+from keepcurve.llm.line_dedup import MIN_CHARS, MIN_SITES, MIN_WORDS, remove_boilerplate
 from keepcurve.llm.merkle import build_manifest, folded, leaf_digest, proof_digest
 from keepcurve.llm.mixing import mix_sources
 from keepcurve.llm.packing import pack_documents
@@ -151,17 +151,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+BLANKS_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
 @query("op9_line_dedup", rf"""
 WITH t AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
-x AS (SELECT doc_id, source, a, unnest(range(1, len(a) + 1)) AS k, list_min(list_transform(a, lambda v: md5(trim(v, ' ')))) AS other FROM t),
+x AS (SELECT doc_id, source, a, unnest(range(1, len(a) + 1)) AS k, list_min(list_transform(a, lambda v: md5(trim(v, {BLANKS_SQL})))) AS other FROM t),
 l AS (
-  SELECT doc_id, source, k, trim(a[k], ' ') AS line, row(k > 1, trim(a[k - 1], ' '), k < len(a), trim(a[k + 1], ' ')) AS context, other
+  SELECT doc_id, source, k, trim(a[k], {BLANKS_SQL}) AS line, row(k > 1, trim(a[k - 1], {BLANKS_SQL}), k < len(a), trim(a[k + 1], {BLANKS_SQL})) AS context, other
   FROM x WHERE len(regexp_extract_all(a[k], '[^ 	-
-]+')) >= {MIN_WORDS}),
+]+')) >= {MIN_WORDS} OR length(trim(a[k], {BLANKS_SQL})) >= {MIN_CHARS}),
 b AS (
   SELECT line, min(row(doc_id, k)) AS first FROM l GROUP BY line
   HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= {MIN_SITES}
-     AND greatest(count(DISTINCT context), count(DISTINCT other)) >= greatest({MIN_SITES}, {CONTEXT_SHARE} * count(DISTINCT doc_id))),
+     AND greatest(count(DISTINCT context), count(DISTINCT other)) >= {MIN_SITES}),
 cut AS (SELECT l.doc_id, l.k FROM l JOIN b USING (line) WHERE row(l.doc_id, l.k) <> b.first),
 kept AS (
   SELECT x.doc_id, string_agg(x.a[x.k], chr(10) ORDER BY x.k) AS text FROM x

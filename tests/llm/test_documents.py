@@ -103,20 +103,20 @@ def test_mixed_documents_repeat_whole_rows(docs):
     assert seen == +plan
 
 
-def brute_lines(rows, min_sites=5, min_words=3, share=0.5):
+def brute_lines(rows, min_sites=5, min_words=3, min_chars=16):
     at = defaultdict(list)
     for i, site, text in rows:
         if text is not None:
-            lines = [x.strip(" ") for x in text.split("\n")]
+            lines = [x.strip(" \t\n\x0b\x0c\r") for x in text.split("\n")]
             other = min(hashlib.md5(x.encode()).hexdigest() for x in lines)
             for k, x in enumerate(lines):
-                if words(x) >= min_words:
+                if words(x) >= min_words or len(x) >= min_chars:
                     around = (lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None)
                     at[x].append((i is None, i if i is not None else 0, k, site, around, (i, text), other))
     cut = set()
     for x, places in at.items():
-        n_docs, contexts = len({p[5] for p in places}), max(len({p[4] for p in places}), len({p[6] for p in places}))
-        if len({p[3] for p in places}) >= min_sites and contexts >= max(min_sites, share * n_docs):
+        contexts = max(len({p[4] for p in places}), len({p[6] for p in places}))
+        if len({p[3] for p in places}) >= min_sites and contexts >= min_sites:
             first = min(places, key=lambda p: p[:3])
             cut |= {(p[5], p[2]) for p in places if (p[5], p[2]) != (first[5], first[2])}
     return [(str(i), None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if ((i, t), k) not in cut)) for i, _, t in rows]
@@ -134,6 +134,18 @@ def test_boilerplate_goes_but_copied_documents_stay(docs):
     assert sum(body in t for _, t in have) == sum(body in (r[2] or "") for r in rows) > 12  # a document copied to all sites keeps its lines
 
 
+def test_lines_without_words_ends_of_lines_and_copies_of_a_page(spark):
+    foot, dense, short = "a footer that all these pages carry", "0123456789" * 3, "Amen."
+    rows = [(k, f"{own_line(k, 0)}\n{foot}{'\r' if k % 2 else ' '}\n{own_line(k, 1)}\n{dense}\n{own_line(k, 2)}\n\t{short}", f"s{k % 20}") for k in range(40)]
+    page = "\n".join([*(own_line(999, j) for j in range(12)), foot, own_line(999, 12)])
+    rows += [(1000 + k, page, f"s{k % 20}") for k in range(300)]  # far more copies than pages
+    got = {r["doc_id"]: r["text"] for r in remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert sorted(got.items()) == [(int(i), t) for i, t in sorted(brute_lines([(i, s, t) for i, t, s in rows]), key=lambda x: int(x[0]))]
+    assert [k for k, t in sorted(got.items()) if foot in t] == [k for k, t in sorted(got.items()) if dense in t] == [0]
+    assert all(short in got[k] for k in range(40))  # below both bounds
+    assert all(got[1000 + k] == page.replace(foot + "\n", "") for k in range(300))
+
+
 def test_threshold_is_exact(spark):
     rows = [(k, f"line {x} of spread\nown text {k} {x}", f"s{k % sites}") for x, sites in enumerate(range(1, 12)) for k in range(x * 100, x * 100 + 30)]
     got = remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_sites=6).collect()
