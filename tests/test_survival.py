@@ -162,3 +162,18 @@ def test_a_stored_cox_model_scores_new_rows(spark, tmp_path):
     want = {r["key"]: r["theta"] for r in theta.collect()}
     assert {r["key"]: r["theta"] for r in again.collect()} == want
     assert sorted(map(tuple, back["baseline"].collect())) == sorted(map(tuple, base.collect()))
+
+
+def test_cox_preparation_reads_the_rows_once_after_the_medians(spark):
+    rows = [(k, float(k % 5) if k % 3 else None, float(k % 11) if k % 4 else None, None) for k in range(60)]
+    df = spark.createDataFrame(rows, "id long, flag double, engagement_momentum double, empty double")
+    out = sv.cox_prep_fit(df, ["flag", "engagement_momentum", "empty"], ["flag"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    got = {r["covariate"]: r for r in out.collect()}
+    v = np.array([r[2] for r in rows if r[2] is not None])
+    filled = np.minimum([r[2] if r[2] is not None else np.median(v) for r in rows], 5.0)
+    assert set(got) == {"flag", "engagement_momentum"} and got["flag"]["mean"] is None and got["flag"]["median"] == 2.0
+    e = got["engagement_momentum"]
+    assert e["median"] == np.median(v) and abs(e["mean"] - filled.mean()) < 1e-12 and abs(e["std"] - filled.std(ddof=1)) < 1e-12
+    assert sv.cox_prep_fit(df.limit(0), ["flag"], ["flag"]).count() == 0
