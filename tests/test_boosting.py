@@ -122,3 +122,19 @@ def test_two_arms(spark):
     both = [bo.fit_boosted(df.where(F.col("t") == arm), list("abc"), "y", "key", params=params, cuts=cuts).score(df, ["key"]).collect() for arm in (1, 0)]
     want = [{r["key"]: r["score"] for r in s} for s in both]
     assert all(effect[k] == pytest.approx(want[0][k] - want[1][k]) for k in range(400))
+
+
+def test_a_fit_reads_blocks_and_lets_them_go(spark, monkeypatch):
+    """A level job meets a block per task, features x rows, not rows; blocks of any size give the same trees, and none stays cached."""
+    df = spark.range(0, 900, 1, 3).select(F.col("id").alias("key"), (F.col("id") * 7 % 31).cast("double").alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 11).cast("double").alias("b"),
+                                          (F.col("id") * 7 % 31 > 15).cast("double").alias("y"))
+    seen, level = [], bo._level_job
+    monkeypatch.setattr(bo, "_level_job", lambda blocks, *a: seen.append(blocks.rdd.map(lambda x: x[0].shape).collect()) or level(blocks, *a))
+    fit = lambda: fit_boosted(df, ["a", "b"], "y", "key", valid=df, params=BoostParams(trees=20, depth=2, rate=0.3)).nodes(spark).collect()
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    whole = fit()
+    assert seen[0] == [(2, 1800)] and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", 300)
+    small = fit()
+    assert len(seen[-1]) > 1 and sum(n for _, n in seen[-1]) == 1800
+    assert [r[:5] for r in small] == [r[:5] for r in whole] and all(x[5] is None or abs(x[5] - y[5]) < 1e-9 for x, y in zip(small, whole))
