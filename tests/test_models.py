@@ -88,3 +88,13 @@ def test_models_come_back_from_their_folders(spark, tmp_path):
     tl = mo.fit_t_learner(df.withColumn("treatment", (F.col("msno") % 2).cast("int")), ["x", "z"], "treatment", "label", params={"maxIter": 2})
     mo.save_t_learner(spark, tl, f"{tmp_path}/uplift")
     assert sorted(mo.load_t_learner(spark, f"{tmp_path}/uplift").effect(df, ["msno"]).collect()) == sorted(tl.effect(df, ["msno"]).collect())
+
+
+def test_trees_grow_in_few_tasks_and_in_two_fits_when_all_are_wanted(spark, monkeypatch):
+    """Rows of 12 partitions make one task; a loss that improves to the end takes the first trees and all of them, no more fits."""
+    df = spark.range(0, 600, 1, 12).select(F.col("id").alias("key"), (F.col("id") % 37).cast("double").alias("a"), (F.col("id") % 37 > 18).cast("int").alias("label"))
+    fits, fit = [], mo.GBTClassifier.fit
+    monkeypatch.setattr(mo.GBTClassifier, "fit", lambda self, x: fits.append((self.getMaxIter(), x.rdd.getNumPartitions())) or fit(self, x))
+    monkeypatch.setattr(mo, "FIRST_TREES", 3)
+    model = mo.fit_gbt(df, ["a"], [], "label", valid=df, params={"maxIter": 14, "subsamplingRate": 1.0}, patience=2)
+    assert fits == [(3, 1), (14, 1)] and model.n_trees == 14
