@@ -76,3 +76,17 @@ def test_bad_records_go_to_quarantine(spark, tmp_path):
     assert {r["file"].rsplit("/", 1)[-1]: r["n"] for r in raw.quarantined(spark, aside).collect()} == {"l1.csv": 1, "l2.csv": 1}
     assert sorted(r["record"][0] for r in spark.read.parquet(aside).collect()) == ["c", "d"]
     assert raw.load_user_logs(spark, [f1, f2]).count() == 5  # as before: fields that do not parse are null
+
+
+def test_deliveries_dealt_by_member_shuffle_once(spark):
+    """Dedup and member aggregates of rows dealt out by the member add no shuffle; rows are those of the plain union but for null members."""
+    from keepcurve.sources.raw import union_deliveries
+
+    a = spark.createDataFrame([(1, 5), (1, 5), (2, 7), (None, 1)], "msno long, v int")
+    b = spark.createDataFrame([(1, 5), (3, 9), (None, 1)], "msno long, v int")
+    dealt, plain = union_deliveries([a, b], True, by="msno"), union_deliveries([a, b], True)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.where("msno IS NOT NULL").collect())) == [(1, 5), (2, 7), (3, 9)]
+    tags = F.explode(F.array(F.lit("x"), F.lit("y"))).alias("period")
+    out = dealt.select("*", tags).groupBy("period", "msno").agg(F.sum("v").alias("s"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, out.where("period = 'x'").select("msno", "s").collect())) == [(1, 5), (2, 7), (3, 9)]
