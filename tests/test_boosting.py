@@ -1,5 +1,7 @@
 """Histogram boosting against a plain booster, and its stopping rule."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +140,34 @@ def test_a_fit_reads_blocks_and_lets_them_go(spark, monkeypatch):
     small = fit()
     assert len(seen[-1]) > 1 and sum(n for _, n in seen[-1]) == 1800
     assert [r[:5] for r in small] == [r[:5] for r in whole] and all(x[5] is None or abs(x[5] - y[5]) < 1e-9 for x, y in zip(small, whole))
+
+
+def test_sql_of_any_number_of_trees_is_the_booster():
+    """The recursive SQL grows the trees that a plain booster grows."""
+    import duckdb
+
+    from keepcurve.plans.fit_sql import boost_levels_ctes
+
+    x, y, w = table(300, 8)
+    cuts = {"a": [2, 5, 8], "b": [1, 3, 6, 10], "c": [0, 1]}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (key INT, a DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE, w DOUBLE, fit BOOLEAN)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?, ?, true)",
+                    [(k, *[None if np.isnan(v) else float(v) for v in r], float(a), float(b)) for k, (r, a, b) in enumerate(zip(x, y, w))])
+    got = con.execute(f"WITH RECURSIVE {boost_levels_ctes('m', 't', cuts, 6, 3, 0.3)} SELECT 1 / (1 + exp(-m_)) FROM m ORDER BY key").fetchall()
+    assert np.allclose([r[0] for r in got], brute(x, y, w, list(cuts.values()), BoostParams(trees=6, depth=3, rate=0.3)), atol=1e-9)
+
+
+def test_boosted_vs_cox_grows_the_whole_classifier(spark, monkeypatch):
+    """The query asks for all trees of the original classifier, as deep (grown few here, to save time)."""
+    from keepcurve.plans import catalog_fits as cf
+
+    rows = [(k % 60, f"period{1 + k // 60}", 100 + k * 37 % 900, k * 7 % 10 // 6, k * 7 % 10 // 6, k * 13 % 400, k % 5, k % 15, k % 80, k % 2, k % 90) for k in range(120)]
+    pooled = spark.createDataFrame(rows, "msno long, period string, tenure_days int, is_churn int, label int, days_since_last_transaction int, "
+                                         "n_cancellations_lifetime int, n_transactions_lifetime int, age int, gender_male int, last_payment_plan_days int")
+    asked, fit = [], bo.fit_boosted
+    monkeypatch.setattr(cf, "_pooled", lambda *a: pooled)
+    monkeypatch.setattr(bo, "fit_boosted", lambda *a, params, **k: asked.append(params) or fit(*a, params=replace(params, trees=2), **k))
+    assert cf.q_boosted_vs_cox(spark, "").count() == 3
+    whole = BoostParams()
+    assert [(p.trees, p.depth, p.rate, p.rows, p.columns) for p in asked] == [(whole.trees, whole.depth, whole.rate, 1.0, 1.0)]
