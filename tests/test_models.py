@@ -98,3 +98,15 @@ def test_trees_grow_in_few_tasks_and_in_two_fits_when_all_are_wanted(spark, monk
     monkeypatch.setattr(mo, "FIRST_TREES", 3)
     model = mo.fit_gbt(df, ["a"], [], "label", valid=df, params={"maxIter": 14, "subsamplingRate": 1.0}, patience=2)
     assert fits == [(3, 1), (14, 1)] and model.n_trees == 14
+
+
+def test_trees_write_columns_and_no_more_than_three_tasks_a_core(spark, monkeypatch):
+    """What a fit writes are the columns, not vectors with a flag beside each; more rows than three tasks a core hold make larger tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 400 * cores, 1, 8 * cores).select(F.col("id").alias("key"), (F.col("id") % 37).cast("int").alias("a"), (F.col("id") % 37 > 18).cast("int").alias("label"))
+    written, cut, tasks, fit = [], mo.cut_lineage, [], mo.GBTClassifier.fit
+    monkeypatch.setattr(mo, "cut_lineage", lambda x: written.append(x.columns) or cut(x))
+    monkeypatch.setattr(mo.GBTClassifier, "fit", lambda self, x: tasks.append(x.rdd.getNumPartitions()) or fit(self, x))
+    monkeypatch.setattr(mo, "ROWS_PER_TASK", 50)
+    mo.fit_gbt(df, ["a"], [], "label", params={"maxIter": 1})
+    assert written == [["a", "label"]] and tasks == [3 * cores]
