@@ -26,7 +26,7 @@ from keepcurve.operators import uplift as up
 from keepcurve.operators.concordance import concordance_index
 from keepcurve.operators.ordered import row_prefix
 from keepcurve.plans.catalog_eval import H
-from keepcurve.plans.catalog_features import snapshot, with_both
+from keepcurve.plans.catalog_features import snapshot, snapshots, with_both
 from keepcurve.plans.catalog_survival import SURV_SQL, churn_score, cox_prep_sql, surv
 from keepcurve.plans.catalog_uplift import CATEGORICAL_FEATURES, HOLDOUT, NUMERIC_FEATURES, SEED
 from keepcurve.plans.catalog_sinks import _table_path
@@ -37,9 +37,15 @@ from keepcurve.sources import snapshots as store
 KEEP = ["msno", "label"]
 
 
-def _periods(spark, sf_dir):
-    p1, p2 = (snapshot(spark, sf_dir, p).withColumn("label", F.col("is_churn")) for p in ("period1", "period2"))
-    return together(lambda: cut_lineage(co.stratified_split(p1, "msno", "label", 0.2, SEED)), lambda: cut_lineage(p2))
+def _both(spark, sf_dir):
+    """Both periods' snapshots, from one pass over the sources, written once."""
+    return cut_lineage(snapshots(spark, sf_dir).withColumn("label", F.col("is_churn")))
+
+
+def _periods(both):
+    """Period1 with its validation split, and period2."""
+    p1, p2 = (both.where(F.col("period") == p) for p in ("period1", "period2"))
+    return cut_lineage(co.stratified_split(p1, "msno", "label", 0.2, SEED)), p2
 
 
 def _threshold(scored_valid):
@@ -73,7 +79,7 @@ def _trees(spark, model, n):
 def q_churn_model_metrics(spark, sf_dir):
     """Logistic regression, boosted trees and isotonic-
     calibrated trees; thresholds on validation, metrics out of time."""
-    p1, p2 = _periods(spark, sf_dir)
+    p1, p2 = _periods(_both(spark, sf_dir))
     train, valid = p1.where(F.col("split") == "train"), p1.where(F.col("split") == "valid")
 
     def logreg():
@@ -100,7 +106,7 @@ def q_churn_model_metrics(spark, sf_dir):
 def q_oot_vs_naive_split(spark, sf_dir):
     """E10 + M4: the same tree model on a pooled random split (train cut to
     the period1 train size) vs the genuine out-of-time split."""
-    p1, p2 = _periods(spark, sf_dir)
+    p1, p2 = _periods(_both(spark, sf_dir))
 
     def out_of_time():
         stopped = _gbt(p1)
@@ -206,7 +212,7 @@ def q_survival_vs_classifier(spark, sf_dir):
 def q_retrain_gate(spark, sf_dir):
     """Train a candidate tree model, evaluate out of time, and gate
     it against the registry's champion (the recency model, version 1)."""
-    p1, p2 = _periods(spark, sf_dir)
+    p1, p2 = _periods(_both(spark, sf_dir))
 
     def candidate():
         g = _boosted(p1)
@@ -266,7 +272,8 @@ def q_retention_pipeline(spark, sf_dir):
     segments (stored, S7) and, joined to the uplift, the offer targeting list
     (S8), which is returned."""
     at = _table_path(spark, "retention_pipeline")
-    p1, p2 = _periods(spark, sf_dir)
+    both = _both(spark, sf_dir)
+    p1, p2 = _periods(both)
     keys, duration = ["msno", "period"], ["msno", "period", "tenure_days", "is_churn"]
 
     def champion_trees():
@@ -278,8 +285,7 @@ def q_retention_pipeline(spark, sf_dir):
         mo.save_t_learner(spark, mo.fit_t_learner(train, FILL_FEATURES, "treatment", "observed_retained"), f"{at}/uplift")
 
     def hazard_model():
-        s = surv(spark, sf_dir, dict.fromkeys([*duration, *sv.COX_COVARIATES, *FILL_FEATURES,
-                                               "last_actual_amount_paid", "last_payment_plan_days"]))
+        s = sv.survival_frame(both)
         prepared = cut_lineage(sv.cox_prep_fit(s))
         x = cut_lineage(sv.cox_prep_transform(s, sv.collect_stats(prepared), keep=duration))
         fit = cox.cox_fit(x, "tenure_days", "is_churn", sv.COX_COVARIATES, penalizer=cox.PENALIZER)

@@ -171,3 +171,64 @@ def test_boosted_vs_cox_grows_the_whole_classifier(spark, monkeypatch):
     assert cf.q_boosted_vs_cox(spark, "").count() == 3
     whole = BoostParams()
     assert [(p.trees, p.depth, p.rate, p.rows, p.columns) for p in asked] == [(whole.trees, whole.depth, whole.rate, 1.0, 1.0)]
+
+
+def test_a_job_applies_no_tree_twice_where_tasks_are_large(spark, monkeypatch):
+    """Margins follow the trees, so a level job finds none to apply; tasks are equal and one a core; the trees are those of small tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 200 * cores, 1, 3).select(F.col("id").alias("key"), (F.col("id") * 7 % 31).cast("double").alias("a"), (F.col("id") * 7 % 31 > 15).cast("double").alias("y"))
+    fit = lambda: fit_boosted(df, ["a"], "y", "key", params=BoostParams(trees=5, depth=2, rate=0.3)).nodes(spark).collect()
+    whole = fit()
+    late, tasks, level = [], [], bo._level_job
+    monkeypatch.setattr(bo, "_level_job", lambda blocks, *a: late.append(len(blocks.late)) or tasks.append(blocks.rdd.getNumPartitions()) or level(blocks, *a))
+    monkeypatch.setattr(bo, "ROWS_PER_TASK", 20)
+    monkeypatch.setattr(bo, "ROWS_LATE", 1)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for direct in (1, 1 << 10):
+        monkeypatch.setattr(bo, "DIRECT", direct)
+        small = fit()
+        assert [r[:5] for r in small] == [r[:5] for r in whole] and all(x[5] is None or abs(x[5] - y[5]) < 1e-9 for x, y in zip(small, whole))
+    assert set(late) == {0} and set(tasks) == {cores} and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_cut_points_of_each_column(spark):
+    """A column's cut points are its values where they are few; without values, and without rows, there are none."""
+    df = spark.createDataFrame([(float(k % 4), None, float("nan") if k % 2 else 7.0) for k in range(40)], "a double, b double, c double")
+    assert bo.quantile_cuts(df, ["a", "b", "c"]) == {"a": [0.0, 1.0, 2.0, 3.0], "b": [], "c": [7.0]}
+    assert bo.quantile_cuts(df.limit(0), ["a", "b"]) == {"a": [], "b": []}
+
+
+def test_periods_come_from_one_pass(spark, monkeypatch, tmp_path):
+    """The fitted queries' periods are the snapshots of each period, from one frame of both; retention_pipeline reads its sources once."""
+    from keepcurve.plans import catalog_models as cm
+
+    d = str(tmp_path)
+    tables = {
+        "customer": spark.range(1, 21).selectExpr("id AS c_custkey", "id % 3 AS c_nationkey", "CAST(id * 911 AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment"),
+        "nation": spark.range(0, 3).selectExpr("id AS n_nationkey", "id % 2 AS n_regionkey"),
+        "orders": spark.range(0, 120).selectExpr("id AS o_orderkey", "1 + id % 20 AS o_custkey", "CAST(date_add(DATE'1998-06-01', CAST(id * 8 AS INT)) AS DATE) AS o_orderdate",
+                                                 "concat(CAST(1 + id % 5 AS STRING), '-X') AS o_orderpriority", "CAST(1000 + id * 37 AS DOUBLE) AS o_totalprice",
+                                                 "CASE id % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END AS o_orderstatus"),
+        "lineitem": spark.range(0, 240).selectExpr("id % 120 AS l_orderkey", "CAST(date_add(DATE'1998-06-05', CAST(id % 120 * 8 AS INT)) AS DATE) AS l_shipdate",
+                                                   "CAST(id % 50 AS DOUBLE) AS l_quantity", "CASE id % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'A' ELSE 'N' END AS l_returnflag", "0.05D AS l_discount",
+                                                   "0.02D AS l_tax", "CAST(1 + id % 7 AS INT) AS l_linenumber", "CAST(id * 13 AS DOUBLE) AS l_extendedprice"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{d}/{name}.parquet")
+    passes, both = [], cm.snapshots
+    monkeypatch.setattr(cm, "snapshots", lambda *a: passes.append(a) or both(*a))
+    parts = cm._periods(cm._both(spark, d))
+    assert len(passes) == 1
+    for period, got in zip(("period1", "period2"), parts):
+        want = cm.snapshot(spark, d, period)
+        rounded = lambda df: sorted(map(str, (
+            tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.select(*want.columns).collect())))
+        assert rounded(got) == rounded(want) and want.count() > 0
+    assert {r["split"] for r in parts[0].select("split").collect()} == {"train", "valid"}
+    alone = []
+    monkeypatch.setattr(cm, "snapshot", lambda *a: alone.append(a))
+    monkeypatch.setattr(cm, "surv", lambda *a: alone.append(a))
+    monkeypatch.setattr(bo, "DEFAULTS", BoostParams(trees=1))
+    monkeypatch.setitem(cm.mo.UPLIFT_GBT_PARAMS, "maxIter", 1)
+    assert cm.q_retention_pipeline(spark, d).count() == parts[1].count()
+    assert len(passes) == 2 and not alone
